@@ -1,0 +1,3 @@
+"""No stream operators: every input of the workload is a materialised table. Row-local operators
+(text, scores, rules, overrides) are plain column expressions and so also accept streaming frames.
+"""
