@@ -18,7 +18,7 @@ modules = [w for w in wanted if w.startswith("q_")]
 if modules:
     for module in modules:
         importlib.import_module(f"tallymark.catalog.{module}")
-    keys = list(QUERIES)
+    keys = [k for k, f in QUERIES.items() if f.__module__.rsplit(".", 1)[1] in modules]
 else:
     import __spark_entry__  # noqa: E402
 
