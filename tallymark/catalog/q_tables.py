@@ -170,14 +170,14 @@ def flt_relevant_accounts(spark, folder):
     return rows.select("account_id", "user_id", "account_type", "site_id")
 
 
-_FLAGGED = """
+FLAGGED_SQL = """
 SELECT u.*, (t.user_id IS NOT NULL)::INT AS test_user
 FROM fx_users u LEFT JOIN fx_test_users t ON t.user_id = u.user_id"""
-_COUNTRY = "(country_code IN ('GB','FR','IT') AND test_user = 0 OR country_code = 'NL')"
+COUNTRY_OK_SQL = "(country_code IN ('GB','FR','IT') AND test_user = 0 OR country_code = 'NL')"
 
 
 @query("flt_country_testuser", with_shapes("fx_users fx_test_users", f"""
-SELECT * FROM ({_FLAGGED}) WHERE {_COUNTRY}"""))
+SELECT * FROM ({FLAGGED_SQL}) WHERE {COUNTRY_OK_SQL}"""))
 def flt_country_testuser(spark, folder):
     flagged = joins.flag_test_users(fx.users(spark, folder), fx.test_users(spark, folder))
     return filters.eligible_country(flagged, fx.RETAIL_TEST)
@@ -290,7 +290,7 @@ def join_base_tagging(spark, folder):
 
 
 @query("join_left_flag", with_shapes("fx_users fx_test_users", f"""
-SELECT * FROM ({_FLAGGED}) WHERE {_COUNTRY} AND client_id IN {_CLIENTS}"""))
+SELECT * FROM ({FLAGGED_SQL}) WHERE {COUNTRY_OK_SQL} AND client_id IN {_CLIENTS}"""))
 def join_left_flag(spark, folder):
     return joins.users_sample(
         fx.users(spark, folder), fx.test_users(spark, folder), fx.RETAIL_TEST, "app"
@@ -336,7 +336,7 @@ def join_semi_accounts(spark, folder):
 
 
 ELIGIBLE_SQL = f"""
-users_ok AS (SELECT * FROM ({_FLAGGED}) WHERE {_COUNTRY} AND client_id IN {{clients}}),
+users_ok AS (SELECT * FROM ({FLAGGED_SQL}) WHERE {COUNTRY_OK_SQL} AND client_id IN {{clients}}),
 accounts_ok AS (SELECT * FROM fx_accounts WHERE deleted IS NULL AND site_id <> '{fx.TEST_SITE}')"""
 
 

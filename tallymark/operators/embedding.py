@@ -57,11 +57,19 @@ def token_matrix(token_vectors: DataFrame, vocabulary: int) -> Column:
     return dense.agg(F.transform(ordered, lambda e: e["vector"])).scalar()
 
 
-def masked_mean_inline(buckets: Column, matrix: Column, size: int) -> Column:
-    """`masked_mean` within the row, against a token matrix: no shuffle and no join back."""
+def with_masked_mean(
+    df: DataFrame, buckets: str, matrix: Column, size: int, output: str = "description_embedding"
+) -> DataFrame:
+    """`masked_mean` within the row, against a token matrix: no shuffle and no join back.
+
+    A subquery may not stand inside a lambda, so it gets a column of its own. That column is read
+    once, and so the optimizer folds it into the expression; rows never carry the matrix.
+    """
     zeros = F.array_repeat(F.lit(0.0), size)
     found = F.filter(
-        F.transform(F.filter(buckets, lambda b: b != 0), lambda b: F.get(matrix, b)),
+        F.transform(
+            F.filter(buckets, lambda b: b != 0), lambda b: F.get(F.col("_tokens"), b)
+        ),
         lambda v: v.isNotNull(),
     )
 
@@ -70,7 +78,8 @@ def masked_mean_inline(buckets: Column, matrix: Column, size: int) -> Column:
         count = F.greatest(F.size(rows), F.lit(1))
         return F.transform(total, lambda x: x / count)
 
-    return vectors.let(found, mean)
+    rows = df.withColumn("_tokens", matrix)
+    return rows.withColumn(output, vectors.let(found, mean)).drop("_tokens")
 
 
 def label_centroids(df: DataFrame, label: str, vector: str, size: int) -> DataFrame:
@@ -84,17 +93,17 @@ def label_centroids(df: DataFrame, label: str, vector: str, size: int) -> DataFr
 def label_matrix(labels: DataFrame, index: str) -> Column:
     """All label vectors in index order as one array of arrays: one row per category, so small.
 
-    A subquery rather than a join: the matrix becomes a constant of the projection that uses it.
+    A subquery rather than a join: the matrix becomes a constant of the projection that reads it.
     """
     entries = F.array_sort(F.collect_list(F.struct(F.col(index).alias("i"), "vector")))
     return labels.agg(F.transform(entries, lambda e: e["vector"])).scalar()
 
 
-def similarities(vector: Column, matrix: Column) -> Column:
+def with_similarities(df: DataFrame, vector: Column, matrix: Column, output: str) -> DataFrame:
     """Dot product of the unit row vector with every label vector of the matrix."""
-    return vectors.let(
-        vectors.l2_normalize(vector), lambda unit: vectors.matvec(matrix, unit)
-    )
+    unit = vectors.l2_normalize(vector)
+    scores = vectors.let(unit, lambda u: vectors.matvec(F.col("_labels"), u))
+    return df.withColumn("_labels", matrix).withColumn(output, scores).drop("_labels")
 
 
 def semi_hard_loss(similarity: Column, label_index: Column, margin: float) -> Column:
@@ -138,13 +147,12 @@ class EmbeddingModel:
         size, vocabulary = config.embedding_size, config.hash_buckets
         if _can_copy(vocabulary, size):
             tokens = token_matrix(self.token_vectors, vocabulary)
-            mean = masked_mean_inline(F.col("preprocessed_description"), tokens, size)
-            rows = df.withColumn("description_embedding", mean)
+            rows = with_masked_mean(df, "preprocessed_description", tokens, size)
         else:
             means = masked_mean(
                 df, key, "preprocessed_description", self.token_vectors, size, vocabulary
             )
             rows = df.join(means, list(key), "inner")
         matrix = label_matrix(self.label_vectors, self.label_index)
-        scored = rows.withColumn("scores", similarities(self._transaction_vector(), matrix))
+        scored = with_similarities(rows, self._transaction_vector(), matrix, "scores")
         return scored.drop("description_embedding")

@@ -22,7 +22,8 @@ if modules:
 else:
     import __spark_entry__  # noqa: E402
 
-    keys = wanted or list(__spark_entry__.queries())
+    __spark_entry__.queries()
+    keys = wanted or list(QUERIES)
 
 spark = (
     SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
