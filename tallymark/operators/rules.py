@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import FEEDBACK_COLUMNS, IDENTITY
 from tallymark.functions.text import clean_for_rules
+from tallymark.functions.vectors import let
 from tallymark.operators import joins
 
 Pack = Mapping[str, Mapping]
@@ -73,15 +74,20 @@ def cleaned(df: DataFrame) -> DataFrame:
     return df.withColumns({c: clean_for_rules(F.col(c)) for c in _TEXT_COLUMNS.values()})
 
 
-def matching_categories(df: DataFrame, pack: Pack) -> DataFrame:
-    """Identity and the array of all matching categories, in a single pass over cleaned rows."""
+def matching_categories(pack: Pack) -> Column:
+    """Array of all categories that match a cleaned row, in a single pass over the row."""
     found = [F.when(matches_rule(rule), F.lit(category)) for category, rule in pack.items()]
-    return df.select(*IDENTITY, F.array_compact(F.array(*found)).alias("categories"))
+    return F.array_compact(F.array(*found))
 
 
 def hits(df: DataFrame, pack: Pack) -> DataFrame:
-    """One row per transaction and matching category."""
-    return matching_categories(df, pack).select(*IDENTITY, F.explode("categories").alias("category"))
+    """One row per transaction and matching category.
+
+    The array stands inside explode, not in a column of its own: the planner infers a non-empty
+    test for exploded columns and pushes it below the joins, where it would clean the texts anew
+    for every pattern.
+    """
+    return df.select(*IDENTITY, F.explode(matching_categories(pack)).alias("category"))
 
 
 def tagging_base(
@@ -106,11 +112,19 @@ def generate_labels(
 
 def hits_per_category(df: DataFrame, pack: Pack) -> DataFrame:
     """Hits per category, and how many of them are on transactions that several categories hit."""
+    marked = let(
+        matching_categories(pack),
+        lambda found: F.transform(
+            found,
+            lambda c: F.struct(
+                c.alias("category"), (F.size(found) > 1).cast("int").alias("several")
+            ),
+        ),
+    )
     return (
-        matching_categories(df, pack)
-        .select((F.size("categories") > 1).cast("int").alias("_multi"), F.explode("categories"))
-        .groupBy(F.col("col").alias("category"))
-        .agg(F.count(F.lit(1)).alias("hits"), F.sum("_multi").alias("multi_hits"))
+        df.select(F.inline(marked))
+        .groupBy("category")
+        .agg(F.count(F.lit(1)).alias("hits"), F.sum("several").alias("multi_hits"))
     )
 
 
