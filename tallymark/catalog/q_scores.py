@@ -76,7 +76,7 @@ means AS (SELECT doc_id, p.pos, coalesce(avg(embedding[p.pos + 1]::DOUBLE), 0) A
 
 
 def _bucketed_documents(spark, folder, size: int):
-    documents = fx.table(spark, folder, "documents").select(
+    documents = fx.spread_table(spark, folder, "documents", "doc_id").select(
         "doc_id", text.clean_for_model(F.col("text")).alias("cleaned")
     )
     tokens = documents.withColumn("tokens", text.tokenize(F.col("cleaned"), RETAIL.max_tokens))

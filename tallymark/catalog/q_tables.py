@@ -404,9 +404,8 @@ MCC_SQL = (
 SELECT transaction_id, bank_specific__mcc, {MCC_SQL} AS mcc_index FROM fx_transactions_short"""))
 def join_lookup_default(spark, folder):
     rows = fx.transactions(spark, folder, False)
-    found = joins.lookup_index(
-        rows, mcc_table(spark, folder), "bank_specific__mcc", "code", "mcc_index"
-    )
+    codes = joins.merchant_codes(mcc_table(spark, folder))
+    found = joins.lookup_index(rows, codes, "bank_specific__mcc", "code", "mcc_index")
     return found.select("transaction_id", "bank_specific__mcc", "mcc_index")
 
 

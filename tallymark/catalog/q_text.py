@@ -24,19 +24,19 @@ from tallymark.operators import overrides
 
 @query("txt_fold_accents", "SELECT doc_id, strip_accents(coalesce(text, '')) AS text FROM documents")
 def txt_fold_accents(spark, folder):
-    documents = fx.table(spark, folder, "documents")
+    documents = fx.spread_table(spark, folder, "documents", "doc_id")
     return documents.select("doc_id", text.fold_accents(F.col("text")).alias("text"))
 
 
 @query("txt_clean_rules", f"SELECT doc_id, {sql_clean_rules('text')} AS text FROM documents")
 def txt_clean_rules(spark, folder):
-    documents = fx.table(spark, folder, "documents")
+    documents = fx.spread_table(spark, folder, "documents", "doc_id")
     return documents.select("doc_id", text.clean_for_rules(F.col("text")).alias("text"))
 
 
 @query("txt_clean_model", f"SELECT doc_id, {sql_clean_model('text')} AS text FROM documents")
 def txt_clean_model(spark, folder):
-    documents = fx.table(spark, folder, "documents")
+    documents = fx.spread_table(spark, folder, "documents", "doc_id")
     return documents.select("doc_id", text.clean_for_model(F.col("text")).alias("text"))
 
 
@@ -50,7 +50,7 @@ def txt_concat_counterparty(spark, folder):
 
 def _cleaned(spark, folder):
     """Documents and the transactions without one, so that empty texts occur too."""
-    documents = fx.table(spark, folder, "documents").select(
+    documents = fx.spread_table(spark, folder, "documents", "doc_id").select(
         F.col("doc_id").alias("id"), F.lit("document").alias("kind"), "text"
     )
     short = fx.transactions(spark, folder, False).select(

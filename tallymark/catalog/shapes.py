@@ -84,6 +84,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table whose rows get expensive work; one that has fewer splits than there are cores is
+    spread over all of them. Large inputs have many splits and stay as they are."""
+    df = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _choose(number: Column, values: list) -> Column:
     options = F.array(*[F.lit(v) for v in values])
     return F.get(options, (number % len(values)).cast("int"))
@@ -128,7 +136,7 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
 
 def transactions(spark: SparkSession, folder: str, texts: bool = True) -> DataFrame:
     """Orders as bank transactions; `texts` appends the whole document of the same number."""
-    orders = table(spark, folder, "orders")
+    orders = spread_table(spark, folder, "orders", "o_orderkey")
     part, supplier = table(spark, folder, "part"), table(spark, folder, "supplier")
     key = F.col("o_orderkey")
     joined = orders.join(part, F.col("p_partkey") == key % _rows(part)).join(

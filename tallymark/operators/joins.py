@@ -1,7 +1,7 @@
 """Joins between transactions, users, accounts and lookups.
 
-No join is forced to broadcast: adaptive execution measures both sides and picks the strategy,
-and splits skewed partitions of the shuffled ones.
+Data tables are never forced to broadcast: adaptive execution measures both sides, picks the
+strategy and splits skewed partitions. Only lookups whose size is bounded by their own keys are.
 """
 
 from __future__ import annotations
@@ -107,3 +107,14 @@ def lookup_index(
     """Left join to a lookup; a key without entry gets `default`."""
     entries = lookup.select(F.col(code).alias(key), value)
     return df.join(entries, key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))
+
+
+def merchant_codes(mcc: DataFrame) -> DataFrame:
+    """One row per merchant code.
+
+    Codes have at most four digits, so there are never more than 11,110 of them and every executor
+    can hold them all. Shuffling the transactions on their code instead would put all those
+    without one into a single partition.
+    """
+    valid = mcc.where(F.col("code").rlike("^[0-9]{1,4}$"))
+    return F.broadcast(valid.groupBy("code").agg(F.min("mcc_index").alias("mcc_index")))

@@ -13,9 +13,9 @@ _BINS = 25
 
 
 def categories_table(df: DataFrame, config: ModelConfig) -> DataFrame:
-    """(category, index) for every category of the model."""
+    """(category, index) for every category of the model: as many rows as the configuration."""
     rows = [(c, i) for i, c in enumerate(config.categories)]
-    return df.sparkSession.createDataFrame(rows, "category string, index int")
+    return df.sparkSession.createDataFrame(rows, "category string, index int").coalesce(1)
 
 
 def rows_per_country(df: DataFrame) -> DataFrame:

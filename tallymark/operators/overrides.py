@@ -1,4 +1,7 @@
-"""Overrides applied after the scores: country, tax labels, taxed interest, counterparties."""
+"""Overrides applied after the scores: country, tax labels, taxed interest, counterparties.
+
+The mappings are constants of the configuration, a few dozen entries, and so are broadcast.
+"""
 
 from __future__ import annotations
 
@@ -60,7 +63,7 @@ def apply_tax_labels(df: DataFrame) -> DataFrame:
     keys = ["country_code", "transaction_type", "tax_label"]
     columns = df.columns
     return (
-        df.join(tax_table(df.sparkSession), keys, "left")
+        df.join(F.broadcast(tax_table(df.sparkSession)), keys, "left")
         .withColumns(
             {
                 "category": F.when(ruled, F.col("tax_category")).otherwise(F.col("category")),
@@ -99,7 +102,7 @@ def apply_counterparties(
     if "counterparty_name" not in df.columns:
         return df
     columns = df.columns
-    table = counterparty_table(df.sparkSession, mapping)
+    table = F.broadcast(counterparty_table(df.sparkSession, mapping))
     winner = F.coalesce("counterparty_category", "category")
     joined = df.join(table, "counterparty_name", "left")
     return joined.withColumn("category", winner).select(*columns)

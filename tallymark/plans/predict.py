@@ -15,7 +15,8 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 def with_mcc_index(df: DataFrame, mcc: DataFrame) -> DataFrame:
     """Category index of the merchant code, -1 when unknown. `mcc` has (code, mcc_index)."""
-    return joins.lookup_index(df, mcc, "bank_specific__mcc", "code", "mcc_index")
+    codes = joins.merchant_codes(mcc)
+    return joins.lookup_index(df, codes, "bank_specific__mcc", "code", "mcc_index")
 
 
 def predict_retail(

@@ -90,5 +90,5 @@ def read_mcc(spark: SparkSession, path: str, config: ModelConfig) -> DataFrame:
     Codes stay text, as they have leading zeros. Categories the model does not know are dropped.
     """
     codes = spark.read.schema(schemas.MCC).option("sep", ";").csv(path)
-    named = categories_table(codes, config).withColumnRenamed("index", "mcc_index")
+    named = F.broadcast(categories_table(codes, config).withColumnRenamed("index", "mcc_index"))
     return codes.join(named, "category", "inner").select("code", "category", "mcc_index")
