@@ -201,8 +201,8 @@ _MASK_SQL = f"""list_transform(list_concat(scores, [0.0, 0.0, 0.0, 0.0, 0.0]), l
 SELECT transaction_id, {sql_scores_text(_MASK_SQL)} AS scores FROM fx_scored_sme"""))
 def score_direction_mask(spark, folder):
     rows = fx.scored(spark, folder, SME, texts=False)
-    padded = S.add_uncategorized(F.col("scores"), SME)
-    masked = S.direction_mask(padded, F.col("transaction_type"), SME)
+    rows = rows.withColumn("scores", S.add_uncategorized(F.col("scores"), SME))
+    masked = S.direction_mask(SME, "scores", "transaction_type")
     return rows.withColumn("scores", masked).select("transaction_id", scores_text())
 
 
@@ -417,9 +417,8 @@ def post_sme_fallback(spark, folder):
     f"SELECT transaction_id, {sql_scores_text()} AS scores, category_source FROM {{src}}")))
 def post_sme_test_rows(spark, folder):
     rows = _sme_rows(spark, folder).withColumn("category_source", F.lit("ModelFallback"))
-    masked = S.direction_mask(
-        S.add_uncategorized(F.col("scores"), SME), F.col("transaction_type"), SME
-    )
+    rows = rows.withColumn("scores", S.add_uncategorized(F.col("scores"), SME))
+    masked = S.direction_mask(SME, "scores", "transaction_type")
     rows = postprocess.sme_test_rows(rows.withColumn("scores", masked), SME)
     return rows.select("transaction_id", scores_text(), "category_source")
 

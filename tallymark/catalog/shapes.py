@@ -10,6 +10,7 @@ import copy
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymark.config import RETAIL, SME
 from tallymark.operators.rules import load_pack
@@ -80,8 +81,15 @@ def pack(name: str) -> dict:
     return merged
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; its schema is read from the file once."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tallymark.config import ModelConfig
 
 
-def literal_array(values: Sequence) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def literal_array(values: Sequence[str]) -> Column:
+    """Constant array of texts, as one expression: one call into the JVM, not one per element."""
+    quoted = ["'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values]
+    return F.expr(f"array({', '.join(quoted)})")
 
 
 def add_uncategorized(scores: Column, config: ModelConfig) -> Column:
@@ -47,16 +49,15 @@ def apply_rule(
     return scores, None if open_rows is None else open_rows & ~condition
 
 
-def direction_mask(scores: Column, transaction_type: Column, config: ModelConfig) -> Column:
+def direction_mask(config: ModelConfig, scores: str, transaction_type: str) -> Column:
     """Credit rows lose every outgoing category, debit rows every incoming one."""
     outgoing = set(config.outgoing)
-
-    def masked(i: int, category: str) -> Column:
-        barred = "credit" if category in outgoing else "debit"
-        score = F.get(scores, F.lit(i))
-        return F.when(transaction_type == barred, F.lit(-1.0)).otherwise(score)
-
-    return F.array(*[masked(i, c) for i, c in enumerate(config.categories)])
+    masked = [
+        f"IF({transaction_type} = '{'credit' if c in outgoing else 'debit'}', -1.0D, "
+        f"get({scores}, {i}))"
+        for i, c in enumerate(config.categories)
+    ]
+    return F.expr(f"array({', '.join(masked)})")
 
 
 def argmax_index(scores: Column) -> Column:

@@ -54,8 +54,8 @@ def _reject(df: DataFrame, category: str, condition: Column) -> DataFrame:
     return df.withColumn(f"_s_{category}", score)
 
 
-def _largest(columns: list[Column]) -> Column:
-    return F.greatest(*columns) if len(columns) > 1 else columns[0]
+def _largest(indices: list[int]) -> Column:
+    return F.expr(f"greatest({', '.join(f'get(scores, {i})' for i in indices)})")
 
 
 def _is(column: str, value: str) -> Column:
@@ -92,8 +92,8 @@ def retail_start(df: DataFrame, config: ModelConfig) -> DataFrame:
             lanes[f"_s_{category}"] = F.lit(0.0)
     internal = config.index("Internal")
     others = [config.index(c) for c in config.trainable if c not in _RETAIL_LANES]
-    low = [F.get("scores", F.lit(i)) for i in others if i < internal]
-    high = [F.get("scores", F.lit(i)) for i in others if i > internal]
+    low = [i for i in others if i < internal]
+    high = [i for i in others if i > internal]
     return df.withColumns(
         {**lanes, "_low": _largest(low), "_high": _largest(high), "_open": F.lit(True)}
     )
@@ -166,14 +166,12 @@ def retail_finish(df: DataFrame, config: ModelConfig, stage_open: bool = False)
     """Assemble the score array; `stage_open` also keeps the open flag (for single stages)."""
     by_mcc = "_by_mcc" in df.columns
 
-    def score(i: int, category: str) -> Column:
-        lane = _lane(category) if category in _RETAIL_LANES else F.get("scores", F.lit(i))
-        if not by_mcc:
-            return lane
-        chosen = F.col("_by_mcc") & (F.col("mcc_index") == i)
-        return F.when(chosen, F.lit(1.0)).otherwise(lane)
+    def score(i: int, category: str) -> str:
+        lane = f"`_s_{category}`" if category in _RETAIL_LANES else f"get(scores, {i})"
+        return f"IF(_by_mcc AND mcc_index = {i}, 1.0D, {lane})" if by_mcc else lane
 
-    assembled = F.array(*[score(i, c) for i, c in enumerate(config.categories)])
+    listed = ", ".join(score(i, c) for i, c in enumerate(config.categories))
+    assembled = F.expr(f"array({listed})")
     extra = {}
     if by_mcc:
         extra["category_source"] = _source(F.col("_confident"))
@@ -197,12 +195,10 @@ def retail(df: DataFrame, config: ModelConfig) -> DataFrame:
 def sme_start(df: DataFrame, config: ModelConfig) -> DataFrame:
     """Bar the categories of the other direction and split the scores into lanes."""
     df = df.withColumn("scores", S.add_uncategorized(F.col("scores"), config))
-    masked = S.direction_mask(F.col("scores"), F.col("transaction_type"), config)
-    df = df.withColumn("scores", masked)
+    df = df.withColumn("scores", S.direction_mask(config, "scores", "transaction_type"))
     others = [i for i, c in enumerate(config.categories) if c not in _SME_LANES]
     lanes = {f"_s_{c}": F.get("scores", F.lit(config.index(c))) for c in _SME_LANES}
-    rest = _largest([F.get("scores", F.lit(i)) for i in others])
-    return df.withColumns({**lanes, "_rest": rest, "_open": F.lit(True)})
+    return df.withColumns({**lanes, "_rest": _largest(others), "_open": F.lit(True)})
 
 
 def sme_business(df: DataFrame, config: ModelConfig) -> DataFrame:
@@ -229,12 +225,11 @@ def sme_fallback(df: DataFrame, config: ModelConfig) -> DataFrame:
 
 
 def sme_finish(df: DataFrame, config: ModelConfig, stage_open: bool = False) -> DataFrame:
-    assembled = F.array(
-        *[
-            _lane(c) if c in _SME_LANES else F.get("scores", F.lit(i))
-            for i, c in enumerate(config.categories)
-        ]
+    listed = ", ".join(
+        f"`_s_{c}`" if c in _SME_LANES else f"get(scores, {i})"
+        for i, c in enumerate(config.categories)
     )
+    assembled = F.expr(f"array({listed})")
     extra = {}
     if "_confident" in df.columns:
         extra["category_source"] = _source(F.col("_confident"))
@@ -246,9 +241,8 @@ def sme_finish(df: DataFrame, config: ModelConfig, stage_open: bool = False) ->
 def sme_test_rows(df: DataFrame, config: ModelConfig) -> DataFrame:
     """A test description that names a category gets exactly that category."""
     known = F.col("test_category").isin(list(config.categories))
-    wanted = F.array(
-        *[(F.col("test_category") == c).cast("double") for c in config.categories]
-    )
+    names = S.literal_array(config.categories)
+    wanted = F.transform(names, lambda c: (c == F.col("test_category")).cast("double"))
     return df.withColumns(
         {
             "scores": F.when(known, wanted).otherwise(F.col("scores")),
