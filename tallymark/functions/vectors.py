@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPSILON = 1e-12
+EPSILON = 1e-12
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -24,7 +24,7 @@ def l2_normalize(vector: Column) -> Column:
     """Unit-length vector; a zero vector stays zero."""
     vector = vector.cast("array<double>")
     squares = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x)
-    norm = F.sqrt(F.greatest(squares, F.lit(_EPSILON)))
+    norm = F.sqrt(F.greatest(squares, F.lit(EPSILON)))
     return let(norm, lambda n: F.transform(vector, lambda x: x / n))
 
 

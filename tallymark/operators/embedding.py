@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.config import ModelConfig
@@ -13,6 +17,8 @@ from tallymark.functions import vectors
 
 # Largest token table that is copied to every executor; a larger one is joined by shuffle.
 _COPY_BYTES = 256 * 1024 * 1024
+# Rows whose token vectors are gathered together; bounds the memory of a batch.
+_ROWS_AT_ONCE = 1024
 
 
 def _can_copy(vocabulary: int, size: int) -> bool:
@@ -47,41 +53,6 @@ def masked_mean(
     )
 
 
-def token_matrix(token_vectors: DataFrame, vocabulary: int) -> Column:
-    """All token vectors as one array indexed by bucket; its size is fixed by the vocabulary."""
-    buckets = token_vectors.sparkSession.range(vocabulary).select(F.col("id").alias("bucket"))
-    dense = buckets.join(token_vectors, "bucket", "left").select(
-        F.struct("bucket", F.col("vector").cast("array<double>").alias("vector")).alias("entry")
-    )
-    ordered = F.array_sort(F.collect_list("entry"))
-    return dense.agg(F.transform(ordered, lambda e: e["vector"])).scalar()
-
-
-def with_masked_mean(
-    df: DataFrame, buckets: str, matrix: Column, size: int, output: str = "description_embedding"
-) -> DataFrame:
-    """`masked_mean` within the row, against a token matrix: no shuffle and no join back.
-
-    A subquery may not stand inside a lambda, so it gets a column of its own. That column is read
-    once, and so the optimizer folds it into the expression; rows never carry the matrix.
-    """
-    zeros = F.array_repeat(F.lit(0.0), size)
-    found = F.filter(
-        F.transform(
-            F.filter(buckets, lambda b: b != 0), lambda b: F.get(F.col("_tokens"), b)
-        ),
-        lambda v: v.isNotNull(),
-    )
-
-    def mean(rows: Column) -> Column:
-        total = F.aggregate(rows, zeros, lambda acc, v: F.zip_with(acc, v, lambda a, x: a + x))
-        count = F.greatest(F.size(rows), F.lit(1))
-        return F.transform(total, lambda x: x / count)
-
-    rows = df.withColumn("_tokens", matrix)
-    return rows.withColumn(output, vectors.let(found, mean)).drop("_tokens")
-
-
 def label_centroids(df: DataFrame, label: str, vector: str, size: int) -> DataFrame:
     """Unit-length mean vector per label."""
     means = df.groupBy(label).agg(
@@ -119,6 +90,40 @@ def semi_hard_loss(similarity: Column, label_index: Column, margin: float) -> Co
     return F.greatest(F.lit(0.0), negative - positive + F.lit(margin))
 
 
+def _as_matrix(vectors_table: DataFrame, index: str, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Model vectors as a dense matrix, and which of its rows exist. Bounded by the model size."""
+    table = vectors_table.select(
+        F.col(index).cast("long").alias("i"), F.col("vector").cast("array<double>").alias("v")
+    ).toArrow()
+    places = table.column("i").to_numpy()
+    values = np.stack(table.column("v").to_numpy(zero_copy_only=False))
+    matrix = np.zeros((rows, values.shape[1]))
+    present = np.zeros(rows, dtype=bool)
+    matrix[places], present[places] = values, True
+    return matrix, present
+
+
+def _lists(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values of a list array, and the row each of them belongs to."""
+    flat = array.flatten().to_numpy(zero_copy_only=False)
+    lengths = np.diff(array.offsets.to_numpy())
+    return flat, np.repeat(np.arange(len(array)), lengths)
+
+
+def _mean_vectors(
+    buckets: np.ndarray, rows: np.ndarray, n: int, tokens: np.ndarray, present: np.ndarray
+) -> np.ndarray:
+    """Mean token vector per row; `rows` ascends."""
+    kept = (buckets != 0) & present[buckets]
+    buckets, rows = buckets[kept], rows[kept]
+    means = np.zeros((n, tokens.shape[1]))
+    if len(rows):
+        starts = np.flatnonzero(np.r_[True, np.diff(rows) > 0])
+        counts = np.diff(np.r_[starts, len(rows)])
+        means[rows[starts]] = np.add.reduceat(tokens[buckets], starts) / counts[:, None]
+    return means
+
+
 @dataclass
 class EmbeddingModel:
     """Token vectors (bucket, vector), label vectors (index, vector) and an optional dense layer
@@ -143,16 +148,50 @@ class EmbeddingModel:
         return F.zip_with(product, bias, lambda p, b: p + b)
 
     def score(self, df: DataFrame, key: Sequence[str], config: ModelConfig) -> DataFrame:
-        """Add `scores`, one similarity per trainable category, to rows with features."""
-        size, vocabulary = config.embedding_size, config.hash_buckets
-        if _can_copy(vocabulary, size):
-            tokens = token_matrix(self.token_vectors, vocabulary)
-            rows = with_masked_mean(df, "preprocessed_description", tokens, size)
-        else:
-            means = masked_mean(
-                df, key, "preprocessed_description", self.token_vectors, size, vocabulary
-            )
-            rows = df.join(means, list(key), "inner")
+        """Add `scores`, one similarity per trainable category, to rows with features.
+
+        A model that fits on every executor scores rows where they are: no shuffle, and dense
+        arithmetic on Arrow batches. A larger one looks its tokens up by a join.
+        """
+        if _can_copy(config.hash_buckets, config.embedding_size):
+            return df.withColumn("scores", self._local_scorer(df.sparkSession, config))
+        means = masked_mean(
+            df, key, "preprocessed_description", self.token_vectors, config.embedding_size,
+            config.hash_buckets,
+        )
+        rows = df.join(means, list(key), "inner")
         matrix = label_matrix(self.label_vectors, self.label_index)
         scored = with_similarities(rows, self._transaction_vector(), matrix, "scores")
         return scored.drop("description_embedding")
+
+    def _local_scorer(self, spark: SparkSession, config: ModelConfig) -> Column:
+        tokens, present = _as_matrix(self.token_vectors, "bucket", config.hash_buckets)
+        labels, _ = _as_matrix(self.label_vectors, self.label_index, len(config.trainable))
+        weights = None if self.weights is None else np.asarray(self.weights, dtype=float).T
+        bias = 0.0 if self.bias is None else np.asarray(self.bias, dtype=float)
+        model = spark.sparkContext.broadcast((tokens, present, labels.T.copy(), weights, bias))
+        smallest = vectors.EPSILON
+        # The function travels with its helpers, so workers need not have this package.
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+        @F.arrow_udf("array<double>")
+        def similarity(buckets: pa.Array, numeric: pa.Array) -> pa.Array:
+            token_rows, known, label_columns, dense, offset = model.value
+            n, size = len(buckets), label_columns.shape[1]
+            flat, rows = _lists(buckets)
+            scores = np.empty((n, size))
+            for start in range(0, n, _ROWS_AT_ONCE):
+                stop = min(start + _ROWS_AT_ONCE, n)
+                low, high = np.searchsorted(rows, [start, stop])
+                x = _mean_vectors(
+                    flat[low:high], rows[low:high] - start, stop - start, token_rows, known
+                )
+                if dense is not None:
+                    extra = np.array(numeric.slice(start, stop - start).to_pylist(), dtype=float)
+                    x = np.hstack([x, extra]) @ dense + offset
+                norm = np.sqrt(np.maximum((x * x).sum(axis=1), smallest))
+                scores[start:stop] = (x / norm[:, None]) @ label_columns
+            offsets = np.arange(0, (n + 1) * size, size, dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(scores.ravel()))
+
+        return similarity("preprocessed_description", "preprocessed_numeric_features")
