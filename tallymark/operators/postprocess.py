@@ -71,8 +71,16 @@ def _source(confident: Column) -> Column:
 
 
 def _assemble(df: DataFrame, scores: Column, extra: Mapping[str, Column]) -> DataFrame:
+    """Select the inputs and the results of a chain.
+
+    The planner pushes a later filter, say on the category, down through projections and puts the
+    whole chain in place of the column each time it is mentioned, which grows without bound. It
+    never moves a filter past a projection that is not deterministic, so the scores pass through
+    a condition on the row number that always holds.
+    """
     kept = [c for c in df.columns if not c.startswith("_") and c != "scores"]
-    return df.select(*kept, scores.alias("scores"), *[c.alias(n) for n, c in extra.items()])
+    settled = F.when(F.monotonically_increasing_id() >= 0, scores)
+    return df.select(*kept, settled.alias("scores"), *[c.alias(n) for n, c in extra.items()])
 
 
 # --- retail -------------------------------------------------------------------------------

@@ -19,13 +19,22 @@ def with_mcc_index(df: DataFrame, mcc: DataFrame) -> DataFrame:
     return joins.lookup_index(df, codes, "bank_specific__mcc", "code", "mcc_index")
 
 
+def rate(
+    df: DataFrame, config: ModelConfig, limits: Column, scorer: Scorer, mcc: DataFrame | None = None
+) -> DataFrame:
+    """Rows with features, rewritten `scores`, `category` and `category_source`."""
+    scored = scorer(features.features(df, config, limits))
+    if config.join_counterparty:
+        return postprocess.sme(scored, config)
+    coded = scored.withColumn("mcc_index", F.lit(-1)) if mcc is None else with_mcc_index(scored, mcc)
+    return postprocess.retail(coded, config)
+
+
 def predict_retail(
-    df: DataFrame, config: ModelConfig, limits: Column, scorer: Scorer, mcc: DataFrame
+    df: DataFrame, config: ModelConfig, limits: Column, scorer: Scorer, mcc: DataFrame | None = None
 ) -> DataFrame:
     """Input columns with `category` and `category_source`."""
-    scored = scorer(features.features(df, config, limits))
-    rated = postprocess.retail(with_mcc_index(scored, mcc), config)
-    return rated.select(*df.columns, "category", "category_source")
+    return rate(df, config, limits, scorer, mcc).select(*df.columns, "category", "category_source")
 
 
 def predict_sme(df: DataFrame, config: ModelConfig, limits: Column, scorer: Scorer) -> DataFrame:
@@ -38,8 +47,7 @@ def predict_sme(df: DataFrame, config: ModelConfig, limits: Column, scorer: Scor
         rows = df.withColumn("counter_account_type", F.lit(None).cast("string"))
     else:
         rows = df
-    scored = scorer(features.features(overrides.with_country(rows), config, limits))
-    rated = postprocess.sme(scored, config)
+    rated = rate(overrides.with_country(rows), config, limits, scorer)
     ruled = overrides.apply_interest(overrides.apply_tax_labels(rated))
     return overrides.apply_counterparties(ruled).select(
         *df.columns, "category", "category_source"

@@ -184,3 +184,10 @@ def test_argmax_takes_the_first_of_equals(spark):
 def test_chain_shuffles_nothing(spark):
     df = postprocess.retail(frame(spark, random_rows(RETAIL, 10, 1)), RETAIL)
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_stay_above_the_chain(spark):
+    df = postprocess.retail(frame(spark, random_rows(RETAIL, 50, 2)), RETAIL)
+    wanted = df.where((F.col("category") == "Internal") & (F.col("category_source") != "x"))
+    assert len(wanted._jdf.queryExecution().optimizedPlan().toString()) < 100_000
+    assert wanted.count() == sum(r.category == "Internal" for r in df.collect())
