@@ -41,9 +41,14 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def range_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of symbols[start:end] for each range, the length mixed in."""
-    up, down = _power_tables(len(symbols))
-    sums = np.zeros(len(symbols) + 1, np.uint64)
-    np.cumsum(_SYMBOLS[symbols] * up[: len(symbols)], dtype=np.uint64, out=sums[1:])
+    return sequence_hashes(_SYMBOLS[symbols], starts, ends)
+
+
+def sequence_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of values[start:end] for each range, the length mixed in; values are hashes already."""
+    up, down = _power_tables(len(values))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], dtype=np.uint64, out=sums[1:])
     h = (sums[ends] - sums[starts]) * down[starts]
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import minhash
+from tallymark.llm import minhash, substring
 from tallymark.llm.registry import query, table
 
 
 @query("op9_minhash")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
+@query("op6_substring")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.repeats(table(spark, folder, "documents"))
