@@ -245,3 +245,10 @@ def near_duplicates(
             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
         )
     )
+
+
+def distinct_documents(df: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `df` without those whose id has a near-duplicate with a smaller one."""
+    judged = near_duplicates(df, percent, doc_id=doc_id, text=text)
+    gone = measured(judged.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    return df.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("__gone")), "left_anti")
