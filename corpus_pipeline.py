@@ -15,7 +15,7 @@ from tallymark.staging import stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts that are null, have no letter, or fit no language better than the others."""
+    """Rejects texts without a language: null, or without a letter."""
     return language_id.recognised(docs, language_id.fit(docs))
 
 

@@ -218,8 +218,8 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return map_arrow(kept, run, schema)
 
 
-def recognised(df: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows of `df` whose text has letters and a language of at least this score."""
+def recognised(df: DataFrame, model: Model, least: float = 0.0, text: str = "text") -> DataFrame:
+    """The rows of `df` whose text has letters and a language with a score of at least `least`."""
     data = df.sparkSession.sparkContext.broadcast(model)
     column = df.columns.index(text)
 

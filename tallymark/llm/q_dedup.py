@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import minhash, substring
+from tallymark.llm import minhash, substring, vector_index
 from tallymark.llm.registry import query, table
 
 
@@ -16,3 +16,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_substring")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return substring.repeats(table(spark, folder, "documents"))
+
+
+@query("op8_vector_index")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_index.near_vectors(table(spark, folder, "embeddings"))

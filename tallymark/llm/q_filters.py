@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontamination, language_id, url_filter
+from tallymark.llm import decontamination, language_id, toxicity, url_filter
 from tallymark.llm.url_filter import Rule
 from tallymark.llm.registry import query, table
 
@@ -35,6 +35,17 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) USING (page_id)
 """
 
+TOXIC = 0.5
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, table(spark, folder, "labels"), ["quality", "toxic"])
+    return toxicity.predict(docs, chain).select(
+        "doc_id", "p_quality", "p_toxic", (F.col("p_toxic") >= TOXIC).alias("toxic")
+    )
+
 
 @query("op5_decontamination")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
