@@ -147,9 +147,10 @@ def pipe_training_table(spark, folder):
     return _samples(*[filters.tag(df, domain="app") for df in pair])
 
 
-_HELD_OUT = """(SELECT t.* FROM {source} t WHERE t.date >= DATE '{start}' AND NOT EXISTS
-  (SELECT 1 FROM fx_feedback f WHERE f.category = 'Rent' AND f.user_id = t.user_id
-    AND f.account_id = t.account_id AND f.transaction_id = t.transaction_id))"""
+_HELD_OUT = """(SELECT t.* FROM {source} t
+  ANTI JOIN (SELECT DISTINCT user_id, account_id, transaction_id FROM fx_feedback
+    WHERE category = 'Rent') f USING (user_id, account_id, transaction_id)
+  WHERE t.date >= DATE '{start}')"""
 
 
 @query("pipe_preprocess_retail", with_shapes(_RETAIL_SHAPES, f"""

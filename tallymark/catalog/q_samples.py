@@ -202,6 +202,37 @@ def win_stratified_split(spark, folder):
     return split.select("domain", "transaction_id", label, "split")
 
 
+# Rows per domain: fewer than any domain has for one, and a share that rounds for the other.
+TEST_ROWS, VALIDATION_ROWS = 251, 97
+
+
+def _counts_sql(rows: str, source: str, n: int, name: str) -> str:
+    """Quotas of the strata: their share of the domain's rows, the largest remainders rounded up."""
+    return f"""{name}_share AS (SELECT *, least({n}, sum({rows}) OVER w) AS wanted,
+  CASE WHEN sum({rows}) OVER w = 0 THEN 0 ELSE {rows} * least({n}, sum({rows}) OVER w)::DOUBLE
+    / sum({rows}) OVER w END AS part FROM {source} WINDOW w AS (PARTITION BY domain)),
+{name}_quota AS MATERIALIZED (SELECT * EXCLUDE (part, wanted), floor(part) + (row_number() OVER (
+    PARTITION BY domain ORDER BY part - floor(part) DESC, label ASC NULLS LAST)
+  <= wanted - sum(floor(part)) OVER (PARTITION BY domain))::INT AS n_{name} FROM {name}_share)"""
+
+
+@query("win_stratified_split_counts", with_shapes("fx_transactions_short fx_users", f"""
+WITH rows_in AS MATERIALIZED ({_LABELLED_SQL}),
+strata AS (SELECT domain, label, count(*) AS n_rows FROM rows_in GROUP BY ALL),
+{_counts_sql('n_rows', 'strata', TEST_ROWS, 'test')},
+rest AS (SELECT *, n_rows - n_test AS n_rest FROM test_quota),
+{_counts_sql('n_rest', 'rest', VALIDATION_ROWS, 'val')},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY domain, label ORDER BY {sql_hash(42)}) AS n
+  FROM rows_in)
+SELECT r.domain, transaction_id, coalesce(r.label, -1) AS label, CASE WHEN n <= n_test THEN 'test'
+  WHEN n <= n_test + n_val THEN 'validation' ELSE 'train' END AS split
+FROM ranked r JOIN val_quota q ON q.domain = r.domain AND q.label IS NOT DISTINCT FROM r.label"""))
+def win_stratified_split_counts(spark, folder):
+    split = sampling.stratified_split(_labelled(spark, folder), TEST_ROWS, VALIDATION_ROWS)
+    label = F.coalesce("target_category_int", F.lit(-1)).alias("label")
+    return split.select("domain", "transaction_id", label, "split")
+
+
 # --- top-k and metrics --------------------------------------------------------------------
 
 

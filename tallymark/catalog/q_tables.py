@@ -310,14 +310,13 @@ def _inspection(spark, folder) -> DataFrame:
     )
 
 
-_HELD = f"""EXISTS (SELECT 1 FROM fx_feedback f WHERE f.category = 'Rent'
-  AND f.user_id = t.user_id AND f.account_id = t.account_id
-  AND f.transaction_id = t.transaction_id)"""
-
-
 @query("join_anti_inspection", with_shapes("fx_transactions_short fx_feedback", f"""
-SELECT {KEYS}, (SELECT count(*) FROM fx_transactions_short t WHERE {_HELD}) AS held_out
-FROM fx_transactions_short t WHERE NOT {_HELD}"""))
+WITH held AS MATERIALIZED (SELECT DISTINCT user_id, account_id, transaction_id FROM fx_feedback
+  WHERE category = 'Rent'),
+removed AS (SELECT count(*) AS held_out FROM fx_transactions_short
+  SEMI JOIN held USING (user_id, account_id, transaction_id))
+SELECT {KEYS}, held_out FROM (SELECT * FROM fx_transactions_short
+  ANTI JOIN held USING (user_id, account_id, transaction_id)), removed"""))
 def join_anti_inspection(spark, folder):
     rows, inspection = fx.transactions(spark, folder, False), _inspection(spark, folder)
     removed = joins.held_out_count(rows, inspection).scalar()
@@ -400,12 +399,30 @@ MCC_SQL = (
 )
 
 
+# Codes of other forms than four digits.
+_FORMS_SQL = """CASE WHEN transaction_id % 10 = 3 THEN '12345' WHEN transaction_id % 10 = 4 THEN 'A100'
+  ELSE bank_specific__mcc END"""
+
+
 @query("join_lookup_default", with_shapes("fx_transactions_short", f"""
-SELECT transaction_id, bank_specific__mcc, {MCC_SQL} AS mcc_index FROM fx_transactions_short"""))
+WITH coded AS (SELECT transaction_id, {_FORMS_SQL} AS bank_specific__mcc FROM fx_transactions_short)
+SELECT transaction_id, bank_specific__mcc, CASE bank_specific__mcc
+  WHEN '12345' THEN {RETAIL.index('Bills')} WHEN 'A100' THEN {RETAIL.index('Groceries')}
+  ELSE {MCC_SQL} END AS mcc_index FROM coded"""))
 def join_lookup_default(spark, folder):
-    rows = fx.transactions(spark, folder, False)
-    codes = joins.merchant_codes(mcc_table(spark, folder))
-    found = joins.lookup_index(rows, codes, "bank_specific__mcc", "code", "mcc_index")
+    key = F.col("transaction_id") % 10
+    rows = fx.transactions(spark, folder, False).withColumn(
+        "bank_specific__mcc",
+        F.when(key == 3, "12345").when(key == 4, "A100").otherwise(F.col("bank_specific__mcc")),
+    )
+    others = rows.select(F.col("bank_specific__mcc").alias("code")).distinct().where(
+        F.col("code").isin("12345", "A100")
+    )
+    index = F.when(F.col("code") == "12345", RETAIL.index("Bills")).otherwise(RETAIL.index("Groceries"))
+    known = mcc_table(spark, folder).unionByName(others.withColumn("mcc_index", index))
+    found = joins.lookup_index(
+        rows, joins.merchant_codes(known), "bank_specific__mcc", "code", "mcc_index"
+    )
     return found.select("transaction_id", "bank_specific__mcc", "mcc_index")
 
 

@@ -75,19 +75,17 @@ FROM events JOIN fx_transactions_short t ON t.transaction_id = event_id // 3""")
     "fx_scored_retail": (("fx_transactions",),
                          _SCORED.format(n=len(RETAIL.trainable), factor="2.0")),
     "fx_scored_sme": (("fx_transactions",), _SCORED.format(n=len(SME.trainable), factor="3.0")),
-    # Latest readable feedback per transaction: no newer one, and none earlier by name at that time.
     "fx_read": (("fx_feedback",), """
 SELECT * REPLACE (try_cast(feedback_time AS TIMESTAMP) AS feedback_time)
 FROM fx_feedback WHERE try_cast(feedback_time AS TIMESTAMP) IS NOT NULL"""),
+    # Latest readable feedback per transaction; at equal times the first category by name.
     "fx_latest": (("fx_read",), """
-SELECT DISTINCT user_id, account_id, transaction_id, date, pending, feedback_time,
+SELECT user_id, account_id, transaction_id, date, pending, feedback_time,
   category AS target_category
-FROM fx_read r WHERE NOT EXISTS (
-  SELECT 1 FROM fx_read n WHERE n.transaction_id = r.transaction_id AND n.date = r.date
-    AND n.user_id = r.user_id AND n.account_id = r.account_id AND n.pending = r.pending
-    AND (n.feedback_time > r.feedback_time
-      OR n.feedback_time = r.feedback_time AND r.category IS NULL AND n.category IS NOT NULL
-      OR n.feedback_time = r.feedback_time AND n.category < r.category))"""),
+FROM (SELECT *, row_number() OVER (
+    PARTITION BY user_id, account_id, transaction_id, date, pending
+    ORDER BY feedback_time DESC, category ASC NULLS LAST) AS n FROM fx_read)
+WHERE n = 1"""),
 }
 
 

@@ -109,12 +109,25 @@ def lookup_index(
     return df.join(entries, key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 
-def merchant_codes(mcc: DataFrame) -> DataFrame:
-    """One row per merchant code.
+# Most merchant codes that are copied to every executor; a larger table is joined by shuffle.
+COPIED_CODES = 100_000
 
-    Codes have at most four digits, so there are never more than 11,110 of them and every executor
-    can hold them all. Shuffling the transactions on their code instead would put all those
-    without one into a single partition.
+
+def merchant_codes(mcc: DataFrame, most: int = COPIED_CODES) -> DataFrame:
+    """One row per merchant code, whatever its form; a code with two categories is an error.
+
+    The codes are counted (up to `most` + 1) and broadcast only if there are no more than `most`:
+    shuffling the transactions on their code would put all those without one into one partition,
+    which adaptive execution then has to split.
     """
-    valid = mcc.where(F.col("code").rlike("^[0-9]{1,4}$"))
-    return F.broadcast(valid.groupBy("code").agg(F.min("mcc_index").alias("mcc_index")))
+    index, low = F.max("mcc_index"), F.min("mcc_index")
+    conflict = F.raise_error(F.concat(F.lit("two categories for the merchant code "), F.col("code")))
+    codes = (
+        mcc.where(F.col("code").isNotNull())
+        .groupBy(F.col("code").cast("string").alias("code"))
+        .agg(index.alias("mcc_index"), low.alias("_low"))
+        .select("code", F.when(F.col("_low") == F.col("mcc_index"), F.col("mcc_index")).otherwise(
+            conflict.cast("int")).alias("mcc_index"))
+    )
+    known = mcc.select("code").distinct().limit(most + 1).count()
+    return F.broadcast(codes) if known <= most else codes

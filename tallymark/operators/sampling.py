@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallymark.config import IDENTITY, TARGET_INDEX, ModelConfig
 from tallymark.functions.text import hash60
 from tallymark.operators import filters
+from tallymark.staging import stage
 
 _HASH_BITS = 60
 # 65,536 ranges: ranking inside a range touches about 1/65,536 of a group.
@@ -52,21 +53,28 @@ def _cut(quota: Column, name: str) -> list[Column]:
     ]
 
 
-def _attach(df: DataFrame, cuts: DataFrame, groups: Sequence[str], values: Sequence[str]) -> DataFrame:
+# Most groups whose cuts are copied to every executor; more are joined by shuffle.
+COPIED_GROUPS = 100_000
+
+
+def _attach(
+    df: DataFrame, cuts: DataFrame, groups: Sequence[str], values: Sequence[str],
+    most: int = COPIED_GROUPS,
+) -> DataFrame:
     """Add each group's cut values to its rows.
 
-    Groups come from configuration (countries, domains and labels), so the table of cuts has a
-    few dozen rows at any data size and is broadcast. Without the hint the planner would size it
-    by its input and shuffle all rows on the group, a few huge partitions.
+    Cuts have one row per group and are staged and counted. Up to `most` are broadcast: without the
+    hint the planner would size them by their input and shuffle all rows on the group.
     """
     if not groups:
         only = cuts.select(F.struct(*values)).scalar()
         return df.withColumn("_cut", only).select(df["*"], *[F.col(f"_cut.{v}") for v in values])
-    renamed = cuts.select(*[F.col(g).alias(f"_cut_{g}") for g in groups], *values)
+    renamed = stage(cuts.select(*[F.col(g).alias(f"_cut_{g}") for g in groups], *values), "cuts")
     condition = F.lit(True)
     for g in groups:
         condition = condition & F.col(g).eqNullSafe(F.col(f"_cut_{g}"))
-    return df.join(F.broadcast(renamed), condition).select(df["*"], *values)
+    small = renamed.count() <= most
+    return df.join(F.broadcast(renamed) if small else renamed, condition).select(df["*"], *values)
 
 
 def capped_per_group(
@@ -138,20 +146,25 @@ def _share_quota(rows: Column, share: float) -> Column:
     return F.when((rows >= 2) & (quota < 1), F.lit(1)).otherwise(quota)
 
 
-def _absolute_quota(sizes: DataFrame, domain: str, rows: str, n: int, name: str) -> DataFrame:
+def _absolute_quota(
+    sizes: DataFrame, domain: str, label: str, rows: str, n: int, name: str
+) -> DataFrame:
     """Spread n rows over the strata of a domain by size; largest remainders get the rest.
 
+    A domain with n rows or fewer gives all of them, so quotas always add up to the lesser of both.
     Works on the table of strata, which has one row per domain and label.
     """
     domain_window = Window.partitionBy(domain)
-    share = F.col(rows) * F.lit(float(n)) / F.sum(rows).over(domain_window)
-    sizes = sizes.withColumn("_share", share).withColumn("_base", F.floor("_share").cast("long"))
+    total = F.sum(rows).over(domain_window)
+    wanted = F.least(F.lit(n).cast("long"), total)
+    share = F.coalesce(F.try_divide(F.col(rows) * wanted.cast("double"), total), F.lit(0.0))
+    sizes = sizes.withColumn("_wanted", wanted).withColumn("_share", share)
+    sizes = sizes.withColumn("_base", F.floor("_share").cast("long"))
     by_remainder = domain_window.orderBy(
-        (F.col("_share") - F.col("_base")).desc(), F.col(TARGET_INDEX).asc_nulls_last()
+        (F.col("_share") - F.col("_base")).desc(), F.col(label).asc_nulls_last()
     )
-    extra = F.row_number().over(by_remainder) <= F.lit(n) - F.sum("_base").over(domain_window)
-    quota = F.least(F.col("_base") + extra.cast("long"), F.col(rows))
-    return sizes.withColumn(name, quota).drop("_share", "_base")
+    extra = F.row_number().over(by_remainder) <= F.col("_wanted") - F.sum("_base").over(domain_window)
+    return sizes.withColumn(name, F.col("_base") + extra.cast("long")).drop("_share", "_base", "_wanted")
 
 
 def stratified_split(
@@ -166,22 +179,27 @@ def stratified_split(
     """Add `split` = test, validation or train, stratified by label within each domain.
 
     Shares apply per stratum: the test set first, then the validation set from what is left.
-    Whole numbers are row counts per domain. Rows without a label form a stratum of their own.
+    Whole numbers are row counts per domain, all of its rows if it has fewer. Rows without a label
+    form a stratum of their own.
+
+    A stratum's quotas end in one or two hash ranges. Rows of all other ranges are decided where
+    they are; only those of the cut ranges are ranked, full copies as one row with a multiplicity.
+    Reads `df` three times, so stage an expensive input first.
     """
     strata = [domain, label]
     ranged = _with_range(df, key, seed)
-    totals = _range_totals(ranged, strata)
+    totals = stage(_range_totals(ranged, strata), "ranges")
     sizes = totals.groupBy(*strata).agg(F.max("_group_rows").alias("_n"))
 
     if isinstance(test, float):
         sizes = sizes.withColumn("_test", _share_quota(F.col("_n"), test))
     else:
-        sizes = _absolute_quota(sizes, domain, "_n", test, "_test")
+        sizes = _absolute_quota(sizes, domain, label, "_n", test, "_test")
     sizes = sizes.withColumn("_rest", F.col("_n") - F.col("_test"))
     if isinstance(validation, float):
         sizes = sizes.withColumn("_validation", _share_quota(F.col("_rest"), validation))
     else:
-        sizes = _absolute_quota(sizes, domain, "_rest", validation, "_validation")
+        sizes = _absolute_quota(sizes, domain, label, "_rest", validation, "_validation")
 
     quotas = ["_test", "_validation"]
     cuts = (
@@ -192,17 +210,32 @@ def stratified_split(
             *_cut(F.col("_test") + F.col("_validation"), "held"),
         )
     )
-    place = F.row_number().over(
-        Window.partitionBy(*strata, "_range").orderBy("_hash", *[F.col(c) for c in key])
+    limits = ["_test_range", "_test_left", "_held_range", "_held_left"]
+    placed = _attach(ranged, cuts, strata, limits)
+    at_cut = (F.col("_range") == F.col("_test_range")) | (F.col("_range") == F.col("_held_range"))
+    whole = F.when(F.col("_range") < F.col("_test_range"), "test").when(
+        F.col("_range") < F.col("_held_range"), "validation"
+    ).otherwise("train")
+    decided = placed.where(~at_cut).select(*df.columns, whole.alias("split"))
+
+    copies = placed.where(at_cut).groupBy(*df.columns, "_hash", "_range", *limits).agg(
+        F.count(F.lit(1)).alias("_copies")
+    )
+    earlier = (
+        Window.partitionBy(*strata, "_range")
+        .orderBy("_hash", *[F.col(c) for c in df.columns])
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    before = F.coalesce(F.sum("_copies").over(earlier), F.lit(0))
 
     def within(name: str) -> Column:
-        last = F.col(f"_{name}_range")
-        return (F.col("_range") < last) | (
-            (F.col("_range") == last) & (F.col("_place") <= F.col(f"_{name}_left"))
-        )
+        last, place = F.col(f"_{name}_range"), F.col("_before") + F.col("_copy") + 1
+        return (F.col("_range") < last) | ((F.col("_range") == last) & (place <= F.col(f"_{name}_left")))
 
     split = F.when(within("test"), "test").when(within("held"), "validation").otherwise("train")
-    limits = ["_test_range", "_test_left", "_held_range", "_held_left"]
-    placed = _attach(ranged.withColumn("_place", place), cuts, strata, limits)
-    return placed.select(*df.columns, split.alias("split"))
+    ranked = (
+        copies.withColumn("_before", before)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+        .select(*df.columns, split.alias("split"))
+    )
+    return decided.unionByName(ranked)
