@@ -11,7 +11,7 @@ passage of 50 words keeps its own boundaries but for some words at either end, s
 
 The first pass reduces (digest, document) to the least and the greatest document of each digest,
 combined before the shuffle. The second pass computes the chunks again and meets the digests that
-repeat; they are broadcast if their measured number allows it, else both sides are shuffled.
+repeat, which lie where the first pass left them.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from tallymark.llm.graph import measured
 from tallymark.llm.hashing import sequence_hashes
 
 LEAST_WORDS = 25
-MOST_BROADCAST = 1_000_000
+MOST_CUTS = 100_000
 _NO_ID = -(1 << 63)
 
 
@@ -98,9 +98,7 @@ def repeats(
     first = _occurrences(docs, least, False).groupBy("digest").agg(
         F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")
     )
-    repeated = measured(
-        first.filter("first_doc < last_doc").select("digest", "first_doc"), "repeats", MOST_BROADCAST
-    )
+    repeated = first.filter("first_doc < last_doc").select("digest", "first_doc")
     places = _occurrences(docs, least, True).join(repeated, "digest").select(
         "doc", "start", "stop", "first_doc", (F.col("doc") == F.col("first_doc")).alias("kept")
     )
@@ -146,7 +144,7 @@ def remove_repeats(
     cuts = spans.groupBy(F.col("doc_id").alias("__doc")).agg(
         F.collect_list(F.struct("start_word", "n_words")).alias("__spans")
     )
-    cuts = measured(cuts, "cuts", MOST_BROADCAST // 10)
+    cuts = measured(cuts, "cuts", MOST_CUTS)
     joined = df.join(cuts, F.col(doc_id).cast("long").eqNullSafe(F.col("__doc")), "left").drop("__doc")
     schema = T.StructType(df.schema.fields)
     column = df.columns.index(text)
