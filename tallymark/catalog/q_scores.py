@@ -101,6 +101,10 @@ centroids AS (SELECT label, pos, value / sqrt(sum(value * value) OVER (PARTITION
   FROM label_means)"""
 
 
+# The embeddings carry the labels 0 to 9.
+LABELS = 10
+
+
 def _centroids(spark, folder):
     rows = fx.table(spark, folder, "embeddings")
     return embedding.label_centroids(rows, "label", "embedding", DIMENSIONS)
@@ -123,7 +127,7 @@ sims AS MATERIALIZED (SELECT vec_id, truth, label, list_dot_product(u, v) AS val
 
 
 def _similarities(spark, folder):
-    matrix = embedding.label_matrix(_centroids(spark, folder), "label")
+    matrix = embedding.label_matrix(_centroids(spark, folder), "label", LABELS, DIMENSIONS)
     rows = fx.table(spark, folder, "embeddings")
     rows = embedding.with_similarities(rows, F.col("embedding"), matrix, "similarity")
     return rows.select("vec_id", "label", "similarity")

@@ -25,6 +25,19 @@ def _can_copy(vocabulary: int, size: int) -> bool:
     return vocabulary * (size * 8 + 32) <= _COPY_BYTES
 
 
+def token_table(token_vectors: DataFrame, vocabulary: int, size: int) -> DataFrame:
+    """One row (bucket, vector) per known bucket, so at most `vocabulary` - 1 rows.
+
+    Bucket 0 is padding and buckets outside the vocabulary are not known; the vectors of a bucket
+    that has several are averaged.
+    """
+    known = token_vectors.where((F.col("bucket") > 0) & (F.col("bucket") < vocabulary))
+    means = known.groupBy(F.col("bucket").cast("long").alias("bucket")).agg(
+        *vectors.mean_per_dimension(F.col("vector").cast("array<double>"), size)
+    )
+    return means.select("bucket", vectors.dimensions(size).alias("vector"))
+
+
 def masked_mean(
     df: DataFrame,
     key: Sequence[str],
@@ -34,21 +47,24 @@ def masked_mean(
     vocabulary: int,
     output: str = "description_embedding",
 ) -> DataFrame:
-    """Mean vector of the tokens of every row, ignoring bucket 0; a row without tokens gets zeros.
+    """Mean vector of the known tokens of every row (see `token_table`); none gives zeros.
 
-    `token_vectors` has one row (bucket, vector) per bucket, at most `vocabulary` of them. The
-    means combine before the shuffle, so a row sends one partial result, not one per token.
+    The means combine before the shuffle, so a row sends one partial result, not one per token.
     Returns the key columns and `output`.
     """
+    known = token_table(token_vectors, vocabulary, size)
     if _can_copy(vocabulary, size):
-        token_vectors = F.broadcast(token_vectors)
+        known = F.broadcast(known)
     tokens = df.select(
-        *key, F.explode_outer(F.filter(buckets, lambda b: b != 0)).alias("bucket")
+        *key,
+        F.explode_outer(
+            F.filter(F.col(buckets).cast("array<bigint>"), lambda b: b != 0)
+        ).alias("bucket"),
     )
     return (
-        tokens.join(token_vectors, "bucket", "left")
+        tokens.join(known, "bucket", "left")
         .groupBy(*key)
-        .agg(*vectors.mean_per_dimension(F.col("vector").cast("array<double>"), size))
+        .agg(*vectors.mean_per_dimension(F.col("vector"), size))
         .select(*key, vectors.dimensions(size).alias(output))
     )
 
@@ -61,13 +77,35 @@ def label_centroids(df: DataFrame, label: str, vector: str, size: int) -> DataFr
     return means.select(label, vectors.l2_normalize(vectors.dimensions(size)).alias("vector"))
 
 
-def label_matrix(labels: DataFrame, index: str) -> Column:
-    """All label vectors in index order as one array of arrays: one row per category, so small.
+def _label_rows(labels: DataFrame, index: str, n: int, size: int) -> DataFrame:
+    """One row, one column `m`: n unit vectors in index order, zeros for an index without a vector.
+
+    Vectors may have any length; those of an index that has several are averaged at unit length.
+    Indices outside 0 to n - 1 are left out.
+    """
+    unit = vectors.l2_normalize(F.col("vector").cast("array<double>"))
+    entries = labels.where((F.col(index) >= 0) & (F.col(index) < n)).select(
+        F.col(index).cast("int").alias("i"), unit.alias("v")
+    )
+    cells = entries.select("i", F.posexplode("v").alias("pos", "x")).groupBy("i", "pos").agg(
+        F.avg("x").alias("x")
+    )
+    rows = cells.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("v"))
+    rows = rows.select("i", vectors.l2_normalize(F.transform("v", lambda e: e["x"])).alias("v"))
+    known = rows.agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("known"))
+    zeros = F.array_repeat(F.lit(0.0), size)
+    places = F.sequence(F.lit(0), F.lit(n - 1))
+    return known.select(
+        F.transform(places, lambda i: F.coalesce(F.try_element_at("known", i), zeros)).alias("m")
+    )
+
+
+def label_matrix(labels: DataFrame, index: str, n: int, size: int) -> Column:
+    """The label vectors of n categories as one array of arrays (see `_label_rows`).
 
     A subquery rather than a join: the matrix becomes a constant of the projection that reads it.
     """
-    entries = F.array_sort(F.collect_list(F.struct(F.col(index).alias("i"), "vector")))
-    return labels.agg(F.transform(entries, lambda e: e["vector"])).scalar()
+    return _label_rows(labels, index, n, size).scalar()
 
 
 def with_similarities(df: DataFrame, vector: Column, matrix: Column, output: str) -> DataFrame:
@@ -90,16 +128,15 @@ def semi_hard_loss(similarity: Column, label_index: Column, margin: float) -> Co
     return F.greatest(F.lit(0.0), negative - positive + F.lit(margin))
 
 
-def _as_matrix(vectors_table: DataFrame, index: str, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Model vectors as a dense matrix, and which of its rows exist. Bounded by the model size."""
-    table = vectors_table.select(
-        F.col(index).cast("long").alias("i"), F.col("vector").cast("array<double>").alias("v")
-    ).toArrow()
-    places = table.column("i").to_numpy()
-    values = np.stack(table.column("v").to_numpy(zero_copy_only=False))
-    matrix = np.zeros((rows, values.shape[1]))
+def _token_matrix(known: DataFrame, rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A token table as a dense matrix, and which of its rows exist. Bounded by `rows`."""
+    table = known.toArrow()
+    places = table.column("bucket").to_numpy()
+    matrix = np.zeros((rows, size))
     present = np.zeros(rows, dtype=bool)
-    matrix[places], present[places] = values, True
+    if len(places):
+        matrix[places] = np.stack(table.column("vector").to_numpy(zero_copy_only=False))
+        present[places] = True
     return matrix, present
 
 
@@ -114,7 +151,8 @@ def _mean_vectors(
     buckets: np.ndarray, rows: np.ndarray, n: int, tokens: np.ndarray, present: np.ndarray
 ) -> np.ndarray:
     """Mean token vector per row; `rows` ascends."""
-    kept = (buckets != 0) & present[buckets]
+    inside = (buckets > 0) & (buckets < len(present))
+    kept = inside & present[np.where(inside, buckets, 0)]
     buckets, rows = buckets[kept], rows[kept]
     means = np.zeros((n, tokens.shape[1]))
     if len(rows):
@@ -147,6 +185,9 @@ class EmbeddingModel:
         bias = F.array(*[F.lit(float(b)) for b in self.bias])
         return F.zip_with(product, bias, lambda p, b: p + b)
 
+    def _label_size(self, config: ModelConfig) -> int:
+        return config.embedding_size if self.weights is None else len(self.weights)
+
     def score(self, df: DataFrame, key: Sequence[str], config: ModelConfig) -> DataFrame:
         """Add `scores`, one similarity per trainable category, to rows with features.
 
@@ -160,13 +201,18 @@ class EmbeddingModel:
             config.hash_buckets,
         )
         rows = df.join(means, list(key), "inner")
-        matrix = label_matrix(self.label_vectors, self.label_index)
+        matrix = label_matrix(
+            self.label_vectors, self.label_index, len(config.trainable), self._label_size(config)
+        )
         scored = with_similarities(rows, self._transaction_vector(), matrix, "scores")
         return scored.drop("description_embedding")
 
     def _local_scorer(self, spark: SparkSession, config: ModelConfig) -> Column:
-        tokens, present = _as_matrix(self.token_vectors, "bucket", config.hash_buckets)
-        labels, _ = _as_matrix(self.label_vectors, self.label_index, len(config.trainable))
+        size, n_labels = config.embedding_size, len(config.trainable)
+        known = token_table(self.token_vectors, config.hash_buckets, size)
+        tokens, present = _token_matrix(known, config.hash_buckets, size)
+        rows = _label_rows(self.label_vectors, self.label_index, n_labels, self._label_size(config))
+        labels = np.array(rows.first().m, dtype=float)
         weights = None if self.weights is None else np.asarray(self.weights, dtype=float).T
         bias = 0.0 if self.bias is None else np.asarray(self.bias, dtype=float)
         model = spark.sparkContext.broadcast((tokens, present, labels.T.copy(), weights, bias))

@@ -1,10 +1,11 @@
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallymark.config import COUNTERPARTY_CATEGORIES, RETAIL, SME, TAX_LABELS
-from tallymark.operators import embedding, features, filters, overrides
+from tallymark.operators import embedding, features, filters, joins, overrides
 from tallymark.plans import predict
 from tallymark.sources import golden, tables
 
@@ -129,6 +130,45 @@ def test_local_and_joined_scorer_agree(spark, monkeypatch):
         assert len(values) == len(RETAIL.trainable)
 
 
+@pytest.mark.parametrize("copied", [True, False])
+def test_gaps_lengths_and_repeats_of_a_model(spark, monkeypatch, copied):
+    """Missing labels score 0, label lengths do not count, odd buckets are averaged or unknown."""
+    if not copied:
+        monkeypatch.setattr(embedding, "_COPY_BYTES", 0)
+    tokens = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [0.0, 3.0]), (2, [0.0, 1.0]), (0, [9.0, 9.0]), (70, [5.0, 5.0]), (-1, [7.0, 7.0])],
+        "bucket int, vector array<double>",
+    )
+    names = spark.createDataFrame(
+        [(0, [4.0, 0.0]), (2, [0.0, 0.5]), (3, [1.0, 1.0]), (3, [10.0, 0.0]), (99, [1.0, 0.0]), (-1, [1.0, 0.0])],
+        "index int, vector array<double>",
+    )
+    config = RETAIL.with_values(hash_buckets=50, embedding_size=2)
+    rows = spark.createDataFrame(
+        [(1, [1, 0], [0.0]), (2, [1, 2, 70, 50, -1, 0], [0.0]), (3, [0], [0.0]), (4, [2, 2], [0.0])],
+        "id int, preprocessed_description array<int>, preprocessed_numeric_features array<double>",
+    )
+    model = embedding.EmbeddingModel(tokens, names)
+    found = {r.id: r.scores for r in model.score(rows, ["id"], config).collect()}
+    third = [math.cos(math.pi / 8), math.sin(math.pi / 8)]
+    units = {1: [1.0, 0.0], 2: [1 / math.sqrt(5), 2 / math.sqrt(5)], 3: [0.0, 0.0], 4: [0.0, 1.0]}
+    for key, u in units.items():
+        wanted = [u[0], 0.0, u[1], u[0] * third[0] + u[1] * third[1]]
+        assert found[key] == pytest.approx(wanted + [0.0] * (len(RETAIL.trainable) - 4), abs=1e-9)
+
+
+def test_merchant_codes_of_any_form(spark):
+    codes = spark.createDataFrame(
+        [("0742", 1), ("742", 2), ("12345", 3), ("A100", 4), ("A100", 4), (None, 5)], "code string, mcc_index int"
+    )
+    for most in (100, 2):
+        found = joins.merchant_codes(codes, most).collect()
+        assert {r.code: r.mcc_index for r in found} == {"0742": 1, "742": 2, "12345": 3, "A100": 4}
+    double = codes.union(spark.createDataFrame([("742", 9)], codes.schema))
+    with pytest.raises(Exception, match="two categories for the merchant code 742"):
+        joins.merchant_codes(double).collect()
+
+
 def test_repeated_token_is_the_token(spark):
     tokens = spark.createDataFrame([(32, [1.0, 2.0]), (22, [3.0, 0.0])], "bucket int, vector array<double>")
     rows = spark.createDataFrame(

@@ -85,3 +85,27 @@ def test_small_strata(spark):
     )
     found = sizes(sampling.stratified_split(df, key=KEY))
     assert found == {(1, "train"): 1, (2, "test"): 1, (2, "train"): 1}
+
+
+def test_split_by_count_with_another_label_and_copies(spark):
+    df = labelled(spark, 500).withColumnRenamed("target_category_int", "y")
+    df = df.union(spark.range(1).select(
+        F.explode(F.array_repeat(F.lit(7).cast("long"), 300)).alias("id"), F.lit("d"), F.lit(2)
+    ))
+    split = sampling.stratified_split(df, 100, 37, label="y", key=KEY)
+    totals = {r.split: r["count"] for r in split.groupBy("split").count().collect()}
+    assert totals == {"test": 100, "validation": 37, "train": 663}
+
+
+@pytest.mark.parametrize("test,validation,wanted", [
+    (100, 5, {"test": 50}), (50, 5, {"test": 50}), (45, 20, {"test": 45, "validation": 5}),
+    (0, 0, {"train": 50}), (100, 0.1, {"test": 50}),
+])
+def test_counts_above_the_domain_take_all_of_it(spark, test, validation, wanted):
+    split = sampling.stratified_split(labelled(spark, 50), test, validation, key=KEY)
+    assert {r.split: r["count"] for r in split.groupBy("split").count().collect()} == wanted
+
+
+def test_only_cut_ranges_are_ranked(spark):
+    plan = sampling.stratified_split(labelled(spark), key=KEY)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1 and plan.count("Join Inner") >= 2
