@@ -53,15 +53,15 @@ from tallymark.plans.training import DomainTables, SampleSettings
 _SETTINGS = SampleSettings(*fx.WINDOW)
 _SAMPLE_COLUMNS = (
     "kind", "domain", "user_id", "account_id", "transaction_id", "country_code", "amount",
-    "target_category", "category_index",
+    "description_md5", "target_category", "category_index",
 )
 
 
-def _domain_tables(spark, folder, with_feedback: bool, texts: bool) -> DomainTables:
+def _domain_tables(spark, folder, with_feedback: bool) -> DomainTables:
     return DomainTables(
         users=fx.users(spark, folder),
         accounts=fx.accounts(spark, folder),
-        transactions=fx.transactions(spark, folder, texts),
+        transactions=fx.transactions(spark, folder),
         test_users=fx.test_users(spark, folder),
         feedback=fx.feedback_sources(spark, folder) if with_feedback else (),
     )
@@ -81,6 +81,7 @@ def _samples(training_rows, production_rows):
         {
             "target_category": F.coalesce("target_category", F.lit("<null>")),
             "category_index": F.coalesce("target_category_int", F.lit(-1)),
+            "description_md5": F.md5("description"),
         }
     ).select(*_SAMPLE_COLUMNS)
 
@@ -95,7 +96,7 @@ accounts_{domain} AS (SELECT * FROM fx_accounts WHERE deleted IS NULL
 
 def joined_sql(domain: str, latest: str, transactions: str) -> str:
     return f"""SELECT '{domain}' AS domain, t.user_id, t.account_id, t.transaction_id, t.date,
-  t.pending, t.amount, u.country_code, l.target_category
+  t.pending, t.amount, t.description, u.country_code, l.target_category
 FROM {latest} l, {transactions} t, users_{domain} u, accounts_{domain} a
 WHERE t.user_id = l.user_id AND t.account_id = l.account_id AND t.date = l.date
   AND t.transaction_id = l.transaction_id AND t.pending = l.pending
@@ -106,7 +107,7 @@ def samples_sql(base: str, categories, countries) -> str:
     """Training and production samples of a base with a domain column."""
     index = f"coalesce(list_position({text_list(categories)}, target_category) - 1, -1)"
     columns = f"""domain, user_id, account_id, transaction_id, country_code, amount,
-  coalesce(target_category, '<null>') AS target_category, {index} AS category_index"""
+  md5(description) AS description_md5, coalesce(target_category, '<null>') AS target_category, {index} AS category_index"""
     return f"""SELECT 'training' AS kind, {columns} FROM (SELECT *, row_number() OVER
     (PARTITION BY domain, country_code ORDER BY {sql_hash(123)}) AS n FROM {base}
   WHERE date >= DATE '{fx.START}' AND country_code IN {in_list(countries)})
@@ -117,13 +118,13 @@ UNION ALL SELECT 'production', {columns} FROM (SELECT *, row_number() OVER
 WHERE n <= {fx.PRODUCTION}"""
 
 
-_RETAIL_SHAPES = "fx_latest fx_users fx_test_users fx_accounts fx_transactions_short fx_feedback"
+_RETAIL_SHAPES = "fx_latest fx_users fx_test_users fx_accounts fx_transactions fx_feedback"
 _RETAIL_ELIGIBLE = eligible_sql(fx.CLIENTS, COUNTRY_OK_SQL, "app")
 
 
 def labelled_rows_per_country(spark, folder):
     base = training.labelled_base(
-        _domain_tables(spark, folder, True, False), fx.RETAIL_TEST, "app"
+        _domain_tables(spark, folder, True), fx.RETAIL_TEST, "app"
     )
     return metrics.rows_per_country(filters.tag(base, domain="app"))
 
@@ -131,18 +132,18 @@ def labelled_rows_per_country(spark, folder):
 @query("pipe_labelled_rows_per_country", with_shapes(_RETAIL_SHAPES, f"""
 WITH {_RETAIL_ELIGIBLE}
 SELECT domain, country_code, count(*) AS n_rows
-FROM ({joined_sql('app', 'fx_latest', 'fx_transactions_short')}) GROUP BY ALL"""))
+FROM ({joined_sql('app', 'fx_latest', 'fx_transactions')}) GROUP BY ALL"""))
 def pipe_labelled_rows_per_country(spark, folder):
     return labelled_rows_per_country(spark, folder)
 
 
 @query("pipe_training_table", with_shapes(_RETAIL_SHAPES, f"""
 WITH {_RETAIL_ELIGIBLE},
-base AS MATERIALIZED ({joined_sql('app', 'fx_latest', 'fx_transactions_short')})
+base AS MATERIALIZED ({joined_sql('app', 'fx_latest', 'fx_transactions')})
 {samples_sql('base', RETAIL.categories, RETAIL.countries)}"""))
 def pipe_training_table(spark, folder):
     pair = training.training_tables(
-        _domain_tables(spark, folder, True, False), fx.RETAIL_TEST, "app", _SETTINGS
+        _domain_tables(spark, folder, True), fx.RETAIL_TEST, "app", _SETTINGS
     )
     return _samples(*[filters.tag(df, domain="app") for df in pair])
 
@@ -155,12 +156,12 @@ _HELD_OUT = """(SELECT t.* FROM {source} t
 
 @query("pipe_preprocess_retail", with_shapes(_RETAIL_SHAPES, f"""
 WITH {_RETAIL_ELIGIBLE},
-kept AS MATERIALIZED {_HELD_OUT.format(source='fx_transactions_short', start=fx.START)},
+kept AS MATERIALIZED {_HELD_OUT.format(source='fx_transactions', start=fx.START)},
 base AS MATERIALIZED ({joined_sql('app', 'fx_latest', 'kept')})
 {samples_sql('base', RETAIL.categories, RETAIL.countries)}"""))
 def pipe_preprocess_retail(spark, folder):
     samples = training.preprocess_retail(
-        {"app": _domain_tables(spark, folder, True, False)}, fx.RETAIL_TEST, _SETTINGS,
+        {"app": _domain_tables(spark, folder, True)}, fx.RETAIL_TEST, _SETTINGS,
         _inspection(spark, folder),
     )
     return _samples(*samples)
@@ -200,7 +201,7 @@ def _sme_sql() -> str:
     "fx_users fx_test_users fx_accounts fx_transactions fx_feedback", _sme_sql()))
 def pipe_preprocess_sme(spark, folder):
     domains = {
-        d: _domain_tables(spark, folder, False, True) for d in fx.SME_TEST.domains
+        d: _domain_tables(spark, folder, False) for d in fx.SME_TEST.domains
     }
     samples = training.preprocess_sme(
         domains, fx.SME_TEST, _SETTINGS, {d: fx.pack(d) for d in domains}, fx.RUN_TIME,
@@ -379,22 +380,37 @@ def pipe_evaluate(spark, folder):
     return results.withColumn("value", F.round("value", 6))
 
 
-@query("fit_text_classifier")
+# The second word of a part's name decides the label.
+NOUNS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
+FIT_ROWS = 20_000
+
+
+@query("fit_text_classifier", with_shapes("fx_transactions", f"""
+WITH named AS (SELECT list_position({text_list(NOUNS)}, string_split(description, ' ')[2]) - 1 AS label
+  FROM fx_transactions)
+SELECT label::INT AS label, count(*) AS n_rows, {len(RETAIL.trainable)} AS n_scores,
+  true AS sums_to_one, true AS mostly_right FROM named WHERE label >= 0 GROUP BY ALL"""))
 def fit_text_classifier(spark, folder):
-    """Train on the labelled part of the transactions and score all of them."""
+    """Train on labels that the texts decide, and judge the scores of all labelled rows."""
     from tallymark.operators import classifier
     from tallymark.staging import stage
 
     rows = fx.with_account_type(fx.transactions(spark, folder)).drop("category")
-    label = (F.col("transaction_id") % 7).cast("int")
+    noun = F.array_position(
+        F.array(*[F.lit(n) for n in NOUNS]), F.get(F.split("description", " "), F.lit(1))
+    )
+    label = F.when(noun > 0, noun - 1).cast("int")
     rows = rows.withColumn("target_category_int", label)
     names = F.array(*[F.lit(c) for c in RETAIL.categories])
-    rows = rows.withColumn("target_category", F.get(names, label))
+    rows = rows.withColumn("target_category", F.get(names, F.col("target_category_int")))
     made = stage(features.features(rows, RETAIL, features.limits_of(rows)), "features")
     train = made.where(F.col("date") < F.lit("2000-01-01").cast("date"))
-    model = classifier.fit(train, RETAIL, n_features=1 << 12, max_iter=5)
-    scored = classifier.score(model, made, RETAIL)
-    return scored.select(
-        "transaction_id", F.size("scores").alias("n_scores"),
-        F.round(F.aggregate("scores", F.lit(0.0), lambda a, x: a + x), 3).alias("total"),
+    model = classifier.fit(train, RETAIL, max_rows=FIT_ROWS)
+    scored = classifier.score(model, made.where("target_category_int is not null"), RETAIL)
+    total = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
+    right = F.array_position("scores", F.array_max("scores")) - 1 == F.col("target_category_int")
+    return scored.groupBy(F.col("target_category_int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max(F.size("scores")).alias("n_scores"),
+        F.bool_and(F.abs(total - 1) < 1e-6).alias("sums_to_one"),
+        (F.avg(right.cast("double")) >= 0.99).alias("mostly_right"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallymark.catalog import shapes as fx
 from tallymark.catalog.q_tables import BUSINESS_SQL
 from tallymark.catalog.registry import query
-from tallymark.catalog.sql import quote, sql_hash, text_list, with_shapes
+from tallymark.catalog.sql import quote, sql_folded, sql_hash, text_list, with_shapes
 from tallymark.config import RETAIL
 from tallymark.functions import scores as S
 from tallymark.operators import feedback, filters, metrics, sampling
@@ -255,8 +255,8 @@ def evaluated(spark, folder):
 
 
 EVALUATED_SQL = f"""
-scored AS MATERIALIZED (SELECT o_orderkey AS transaction_id, list_concat(list_transform(
-  embedding[1:30], lambda x: x::DOUBLE * 2.0), [0.0]) AS scores FROM orders JOIN embeddings
+scored AS MATERIALIZED (SELECT o_orderkey AS transaction_id,
+  list_concat({sql_folded(30, '2.0')}, [0.0]) AS scores FROM orders JOIN embeddings
   ON vec_id = o_orderkey % (SELECT count(*) FROM embeddings)),
 labelled AS MATERIALIZED (SELECT *, list_position(scores, list_max(scores)) - 1 AS best,
   CASE WHEN transaction_id % 41 = 0 THEN NULL WHEN transaction_id % 2 = 0

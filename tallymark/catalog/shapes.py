@@ -24,14 +24,12 @@ PER_COUNTRY = 200
 PRODUCTION = 150
 BUSINESS_PATTERN = r"red.*\bring\b|\bbolt\b|gizmo|cold.?rod"
 
-RETAIL_TEST = RETAIL.with_values(
-    clients={"app": CLIENTS}, test_site_id=TEST_SITE, start_date=START,
-    samples_per_country=PER_COUNTRY, production_samples=PRODUCTION,
-)
-SME_TEST = SME.with_values(
-    clients={"app": CLIENTS, "business": ("AUTOMOBILE", "FURNITURE")}, test_site_id=TEST_SITE,
-    start_date=START, samples_per_country=PER_COUNTRY, production_samples=PRODUCTION,
+RETAIL_TEST = RETAIL.for_deployment({"app": CLIENTS}, TEST_SITE).with_values(
+    start_date=START, samples_per_country=PER_COUNTRY, production_samples=PRODUCTION
 )
+SME_TEST = SME.for_deployment(
+    {"app": CLIENTS, "business": ("AUTOMOBILE", "FURNITURE")}, TEST_SITE
+).with_values(start_date=START, samples_per_country=PER_COUNTRY, production_samples=PRODUCTION)
 
 # Patterns over the words of the test tables, added to the shipped packs.
 _EXTRA = {
@@ -92,14 +90,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """A table whose rows get expensive work; one that has fewer splits than there are cores is
-    spread over all of them. Large inputs have many splits and stay as they are."""
-    df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _choose(number: Column, values: list) -> Column:
     options = F.array(*[F.lit(v) for v in values])
     return F.get(options, (number % len(values)).cast("int"))
@@ -144,7 +134,7 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
 
 def transactions(spark: SparkSession, folder: str, texts: bool = True) -> DataFrame:
     """Orders as bank transactions; `texts` appends the whole document of the same number."""
-    orders = spread_table(spark, folder, "orders", "o_orderkey")
+    orders = table(spark, folder, "orders")
     part, supplier = table(spark, folder, "part"), table(spark, folder, "supplier")
     key = F.col("o_orderkey")
     joined = orders.join(part, F.col("p_partkey") == key % _rows(part)).join(
@@ -219,14 +209,20 @@ def feedback_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 
 def scored(spark: SparkSession, folder: str, config, texts: bool = True) -> DataFrame:
-    """Transactions with a model score vector taken from the embeddings."""
+    """Transactions with a model score vector made of the embeddings.
+
+    Category c gets the sum of the dimensions c, c + n, c + 2n, ... of n categories.
+    """
     embeddings = table(spark, folder, "embeddings")
     n = len(config.trainable)
     factor = 2.0 if config.name == "retail" else 3.0
-    vectors = embeddings.select(
-        "vec_id",
-        F.transform(F.slice("embedding", 1, n), lambda x: x.cast("double") * factor).alias("scores"),
-    )
+
+    def folded(c: Column) -> Column:
+        own = F.filter("embedding", lambda x, d: d % n == c)
+        return F.aggregate(own, F.lit(0.0), lambda a, x: a + x.cast("double")) * factor
+
+    places = F.sequence(F.lit(0), F.lit(n - 1))
+    vectors = embeddings.select("vec_id", F.transform(places, folded).alias("scores"))
     rows = with_account_type(transactions(spark, folder, texts))
     return rows.join(
         vectors, F.col("vec_id") == F.col("transaction_id") % _rows(embeddings)

@@ -39,10 +39,19 @@ JOIN supplier ON s_suppkey = o_orderkey % (SELECT count(*) FROM supplier)
 {documents}
 """
 
+def sql_folded(n: int, factor: str) -> str:
+    """Scores of n categories: dimensions c, c + n, c + 2n, ... of the embedding added up."""
+    return (
+        f"list_transform(range({n}), lambda c: list_reduce(list_transform("
+        f"range(c, len(embedding)::BIGINT, {n}), lambda d: embedding[d + 1]::DOUBLE), "
+        f"lambda a, b: a + b) * {factor})"
+    )
+
+
 _SCORED = """
 SELECT t.*, CASE WHEN account_id % 2 = 1 THEN 'SAVINGS_ACCOUNT' ELSE 'CURRENT_ACCOUNT' END
     AS account_type,
-  list_transform(embedding[1:{n}], lambda x: x::DOUBLE * {factor}) AS scores
+  {folded} AS scores
 FROM fx_transactions t JOIN embeddings
   ON vec_id = transaction_id % (SELECT count(*) FROM embeddings)
 """
@@ -73,8 +82,8 @@ SELECT t.user_id, t.account_id, t.transaction_id, t.date, t.pending,
   event_id % 4 AS src
 FROM events JOIN fx_transactions_short t ON t.transaction_id = event_id // 3"""),
     "fx_scored_retail": (("fx_transactions",),
-                         _SCORED.format(n=len(RETAIL.trainable), factor="2.0")),
-    "fx_scored_sme": (("fx_transactions",), _SCORED.format(n=len(SME.trainable), factor="3.0")),
+                         _SCORED.format(folded=sql_folded(len(RETAIL.trainable), "2.0"))),
+    "fx_scored_sme": (("fx_transactions",), _SCORED.format(folded=sql_folded(len(SME.trainable), "3.0"))),
     "fx_read": (("fx_feedback",), """
 SELECT * REPLACE (try_cast(feedback_time AS TIMESTAMP) AS feedback_time)
 FROM fx_feedback WHERE try_cast(feedback_time AS TIMESTAMP) IS NOT NULL"""),

@@ -103,7 +103,11 @@ POSTPROCESSING_COLUMNS = (
 
 @dataclass(frozen=True)
 class ModelConfig:
-    """One category model. Categories are indexed trainable first, excluded last."""
+    """One category model. Categories are indexed trainable first, excluded last.
+
+    `clients` (client ids per domain) and `test_site_id` belong to a deployment: jobs need them, see
+    `for_deployment`.
+    """
 
     name: str
     trainable: tuple[str, ...]
@@ -113,12 +117,12 @@ class ModelConfig:
     threshold: float
     input_columns: tuple[str, ...]
     defaults: Mapping[str, object]
-    clients: Mapping[str, tuple[str, ...]]
+    clients: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     outgoing: tuple[str, ...] = ()
     incoming: tuple[str, ...] = ()
     join_counterparty: bool = False
     test_users_kept_country: str = "NL"
-    test_site_id: str = "e278a008-bf45-4d19-bb5d-b36ff755be58"
+    test_site_id: str | None = None
     start_date: str = "2018-01-01"
     samples_per_country: int = 3_000_000
     production_samples: int = 100_000
@@ -148,6 +152,14 @@ class ModelConfig:
     def index(self, category: str) -> int:
         return self.categories.index(category)
 
+    def for_deployment(
+        self, clients: Mapping[str, tuple[str, ...]], test_site_id: str
+    ) -> "ModelConfig":
+        missing = [d for d in self.domains if not clients.get(d)]
+        if missing:
+            raise ValueError(f"no clients for {', '.join(missing)}")
+        return self.with_values(clients=clients, test_site_id=test_site_id)
+
     def with_values(self, **changes) -> "ModelConfig":
         return dataclasses.replace(self, **changes)
 
@@ -161,7 +173,6 @@ RETAIL = ModelConfig(
     threshold=0.45,
     input_columns=("description", "amount", "transaction_type", "internal_transaction"),
     defaults=RETAIL_DEFAULTS,
-    clients={"app": ("297ecda4-fd60-4999-8575-b25ad23b249c",)},
 )
 
 SME = ModelConfig(
@@ -176,10 +187,6 @@ SME = ModelConfig(
         "internal_transaction",
     ),
     defaults=SME_DEFAULTS,
-    clients={
-        "app": ("297ecda4-fd60-4999-8575-b25ad23b249c",),
-        "business": ("3e3aae2f-e632-4b78-bdf8-2bf5e5ded17e",),
-    },
     outgoing=SME_OUTGOING_TRAINABLE + SME_OUTGOING_EXCLUDED,
     incoming=SME_INCOMING_TRAINABLE + SME_INCOMING_EXCLUDED,
     join_counterparty=True,

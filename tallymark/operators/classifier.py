@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import TARGET_INDEX, ModelConfig
 from tallymark.functions import text
-from tallymark.operators import filters
+from tallymark.operators import filters, sampling
 
 
 def _with_inputs(df: DataFrame, config: ModelConfig) -> DataFrame:
@@ -23,10 +23,13 @@ def _with_inputs(df: DataFrame, config: ModelConfig) -> DataFrame:
 
 
 def fit(
-    train: DataFrame, config: ModelConfig, n_features: int = 1 << 14, max_iter: int = 20
+    train: DataFrame, config: ModelConfig, n_features: int = 1 << 14, max_iter: int = 20,
+    max_rows: int | None = None,
 ) -> PipelineModel:
-    """Fit on rows with features and a trainable label."""
+    """Fit on rows with features and a trainable label, at most `max_rows` of them if given."""
     labelled = filters.without_excluded_labels(train, config).where(F.col(TARGET_INDEX).isNotNull())
+    if max_rows is not None:
+        labelled = sampling.capped(labelled, max_rows, seed=config.seed)
     labelled = labelled.withColumn("_label", F.col(TARGET_INDEX).cast("double"))
     stages = [
         HashingTF(inputCol="_grams", outputCol="_counts", numFeatures=n_features),

@@ -15,6 +15,7 @@ from tallymark.config import (
     TARGET_INDEX,
     ModelConfig,
 )
+from tallymark.staging import measured
 
 
 def from_start_date(df: DataFrame, start: str) -> DataFrame:
@@ -65,7 +66,9 @@ def business_account_ids(
     An account qualifies by one debit above `min_amount` whose text names a tax or bookkeeping
     vendor.
     """
-    local_users = users.where(F.col("country_code") == country).select("user_id").distinct()
+    local_users = measured(
+        users.where(F.col("country_code") == country).select("user_id").distinct(), "local-users"
+    )
     candidates = (
         transactions.where(F.col("category") != "Internal")
         .withColumn("description", F.lower(F.col("description")))
@@ -86,12 +89,15 @@ def business_account_ids(
 def business_accounts(
     users: DataFrame, accounts: DataFrame, transactions: DataFrame, **options
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Restrict users, accounts and transactions to accounts that show business use."""
+    """Restrict users, accounts and transactions to accounts that show business use.
+
+    The qualifying account ids are found once, at once, and written; all three read them.
+    """
     candidates, qualifying = business_account_ids(users, transactions, **options)
-    kept_transactions = candidates.join(qualifying, "account_id", "left_semi")
-    kept_accounts = accounts.join(qualifying, "account_id", "left_semi")
+    chosen = measured(qualifying, "business-accounts")
+    kept_accounts = accounts.join(chosen, "account_id", "left_semi")
     kept_users = users.join(kept_accounts.select("user_id"), "user_id", "left_semi")
-    return kept_users, kept_accounts, kept_transactions
+    return kept_users, kept_accounts, candidates.join(chosen, "account_id", "left_semi")
 
 
 def without_excluded_labels(df: DataFrame, config: ModelConfig, label: str = TARGET) -> DataFrame:

@@ -1,7 +1,9 @@
 """Joins between transactions, users, accounts and lookups.
 
-Data tables are never forced to broadcast: adaptive execution measures both sides, picks the
-strategy and splits skewed partitions. Only lookups whose size is bounded by their own keys are.
+Transactions are the only large side. What they are joined to (eligible users and accounts, held
+out keys, merchant codes) is written once, counted, and broadcast up to a documented number of rows,
+so transactions and their texts stay where they are; a larger dimension is joined by shuffle, with
+the same rows.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import IDENTITY, ModelConfig
 from tallymark.operators import filters
+from tallymark.staging import measured
 
 BASE_TRANSACTION_COLUMNS = (
     "user_id", "account_id", "transaction_id", "date", "amount", "pending", "transaction_type",
@@ -24,6 +27,11 @@ def users_with_accounts(users: DataFrame, accounts: DataFrame) -> DataFrame:
     return users.join(accounts, "user_id", "inner")
 
 
+def eligible(users: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Users joined with their accounts as a measured dimension; runs that join at once."""
+    return measured(users_with_accounts(users, accounts), "eligible-accounts")
+
+
 def base_tagging(
     users: DataFrame, accounts: DataFrame, transactions: DataFrame, clients: Sequence[str]
 ) -> DataFrame:
@@ -32,7 +40,7 @@ def base_tagging(
     active = filters.active_accounts(accounts).select("user_id", "account_id")
     return (
         transactions.select(*BASE_TRANSACTION_COLUMNS)
-        .join(users_with_accounts(chosen, active), ["user_id", "account_id"], "inner")
+        .join(eligible(chosen, active), ["user_id", "account_id"], "inner")
         .withColumn("year_month", F.col("date"))
     )
 
@@ -63,27 +71,24 @@ INSPECTION_KEYS = ["user_id", "account_id", "transaction_id"]
 
 def hold_out(transactions: DataFrame, inspection: DataFrame) -> DataFrame:
     """Transactions that are not in the inspection set."""
-    return transactions.join(inspection.select(*INSPECTION_KEYS), INSPECTION_KEYS, "left_anti")
+    held = measured(inspection.select(*INSPECTION_KEYS).distinct(), "inspection")
+    return transactions.join(held, INSPECTION_KEYS, "left_anti")
 
 
 def held_out_count(transactions: DataFrame, inspection: DataFrame) -> DataFrame:
     """How many transactions the hold-out removes, counted from the removed rows alone."""
-    removed = transactions.select(*INSPECTION_KEYS).join(
-        inspection.select(*INSPECTION_KEYS), INSPECTION_KEYS, "left_semi"
-    )
+    held = measured(inspection.select(*INSPECTION_KEYS).distinct(), "inspection")
+    removed = transactions.select(*INSPECTION_KEYS).join(held, INSPECTION_KEYS, "left_semi")
     return removed.agg(F.count(F.lit(1)).alias("held_out"))
 
 
 def with_accounts_of(transactions: DataFrame, account_ids: DataFrame) -> DataFrame:
-    return transactions.join(account_ids, "account_id", "left_semi")
+    return transactions.join(measured(account_ids.distinct(), "account-ids"), "account_id", "left_semi")
 
 
 def feedback_base(feedback: DataFrame, users: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Feedback of known users and accounts.
-
-    Users and accounts are joined first, so the feedback is matched (and shuffled) only once.
-    """
-    return feedback.join(users_with_accounts(users, accounts), ["user_id", "account_id"], "inner")
+    """Feedback of known users and accounts."""
+    return feedback.join(eligible(users, accounts), ["user_id", "account_id"], "inner")
 
 
 def with_transactions(base: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -95,10 +100,13 @@ def labelled_transactions(
 ) -> DataFrame:
     """Latest feedback with its transaction, user and account.
 
-    The latest feedback is already partitioned on the identity, so joining the transactions
-    first moves only the transactions; users and accounts follow as one joined dimension.
+    Both sides are reduced to eligible accounts first; only what is left of the transactions moves
+    to the feedback, which is already partitioned on the identity.
     """
-    return feedback_base(with_transactions(feedback, transactions), users, accounts)
+    owner = ["user_id", "account_id"]
+    known = eligible(users, accounts)
+    kept = transactions.join(known.select(*owner), owner, "left_semi")
+    return with_transactions(feedback.join(known, owner, "inner"), kept)
 
 
 def lookup_index(

@@ -56,6 +56,8 @@ def run(
 
     Sizes are counted on the written tables, so nothing behind them runs again.
     """
+    if config.test_site_id is None:
+        raise ValueError("give the configuration its clients and test site: for_deployment()")
     domains = {d: read_domain(spark, config, d, paths) for d in config.domains}
     inspection = None
     if inspection_path is not None:

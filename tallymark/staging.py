@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -36,3 +37,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Rows of a narrow table that are copied to every executor; a larger one is joined by shuffle.
+COPIED_ROWS = 1_000_000
+
+
+def measured(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
+    """`df` (few narrow columns), staged and counted, and broadcast if it has `most` rows or fewer."""
+    small = stage(df, name)
+    return F.broadcast(small) if small.count() <= (COPIED_ROWS if most is None else most) else small

@@ -8,7 +8,9 @@ from tallymark.operators.rules import load_pack
 from tallymark.plans import preprocess
 from tallymark.plans.training import SampleSettings
 
-CLIENT = RETAIL.clients["app"][0]
+CLIENT = "client-1"
+RETAIL = RETAIL.for_deployment({"app": (CLIENT,)}, "test-site")
+SME = SME.for_deployment({"app": (CLIENT,), "business": ("client-2",)}, "test-site")
 SETTINGS = SampleSettings("2020-01-01", "2020-01-31", per_country=50, production=50)
 
 
