@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import time
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark import schemas
+from tallymark import schemas, staging
 from tallymark.config import ModelConfig
+from tallymark.operators import filters, joins
 from tallymark.operators.rules import Pack
 from tallymark.plans.training import (
     DomainTables,
     SampleSettings,
-    preprocess_retail,
-    preprocess_sme,
+    from_start,
+    generated_domains,
+    samples,
 )
 from tallymark.sources import sinks, tables
 
@@ -52,26 +55,51 @@ def run(
     business_only: Sequence[str] = (),
     inspection_path: str | None = None,
 ) -> DataFrame:
-    """Write `training`, `production` and `metadata` below `output`; returns the metadata.
+    """Write `training`, `production`, `metadata` and, with packs, `feedback/<domain>` below
+    `output`; returns the metadata.
 
-    Sizes are counted on the written tables, so nothing behind them runs again.
+    Sizes are counted on the written tables, so nothing behind them runs again. Metadata also hold
+    the folders that feedback was read from, the number of held-out transactions and the seconds of
+    each step. Intermediate tables of the job are deleted at the end.
     """
     if config.test_site_id is None:
         raise ValueError("give the configuration its clients and test site: for_deployment()")
-    domains = {d: read_domain(spark, config, d, paths) for d in config.domains}
-    inspection = None
-    if inspection_path is not None:
-        inspection = tables.read_file(spark, inspection_path, schemas.INSPECTION)
-    if packs is None:
-        samples = preprocess_retail(domains, config, settings, inspection)
-    else:
-        samples = preprocess_sme(
-            domains, config, settings, packs, run_time, inspection, business_only
-        )
-    written = {}
-    for name, sample in zip(("training", "production"), samples):
-        sinks.write_partitioned(sample, f"{output}/{name}")
-        written[name] = spark.read.schema(sample.schema).parquet(f"{output}/{name}")
-    metadata = sinks.run_metadata(written, config, {"run_time": run_time})
-    sinks.write_metadata(metadata, f"{output}/metadata")
-    return metadata
+    settings = settings.with_window(run_time, config)
+    facts = {"run_time": run_time, "window": f"{settings.window_start}/{settings.window_end}"}
+    clock = time.monotonic()
+
+    def lap(step: str) -> None:
+        nonlocal clock
+        facts[f"seconds.{step}"] = f"{time.monotonic() - clock:.1f}"
+        clock = time.monotonic()
+
+    with staging.kept_until_done(spark):
+        domains = {d: read_domain(spark, config, d, paths) for d in config.domains}
+        inspection = None
+        if inspection_path is not None:
+            inspection = tables.read_file(spark, inspection_path, schemas.INSPECTION)
+            for d, t in domains.items():
+                recent = filters.from_start_date(t.transactions, config.start_date)
+                facts[f"held_out.{d}"] = str(joins.held_out_count(recent, inspection).first()[0])
+            lap("inspection")
+        if packs is None:
+            prepared = {d: from_start(t, config, inspection) for d, t in domains.items()}
+        else:
+            prepared = generated_domains(
+                domains, config, packs, run_time, inspection, business_only
+            )
+            for d, t in prepared.items():
+                sinks.write_feedback(t.feedback[0], f"{output}/feedback/{d}")
+            lap("feedback")
+        for d, t in domains.items():
+            for number, source in enumerate(t.feedback):
+                for row in tables.lineage(source).collect():  # one row per folder
+                    facts[f"feedback.{d}.{number}.{row.folder}"] = str(row.n_rows)
+        written = {}
+        for name, sample in zip(("training", "production"), samples(prepared, config, settings)):
+            sinks.write_partitioned(sample, f"{output}/{name}")
+            written[name] = spark.read.schema(sample.schema).parquet(f"{output}/{name}")
+            lap(name)
+        metadata = sinks.run_metadata(written, config, facts)
+        sinks.write_metadata(metadata, f"{output}/metadata")
+    return spark.read.schema("metric string, value string").json(f"{output}/metadata")

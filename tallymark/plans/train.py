@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.config import ModelConfig
-from tallymark.operators import classifier, features, metrics, sampling
+from tallymark.operators import classifier, features, filters, metrics, sampling
 from tallymark.plans import evaluate, predict
 from tallymark.staging import stage
 
@@ -49,10 +51,58 @@ class TrainingOutcome:
     verdict: DataFrame
     golden_failures: DataFrame
     missing_labels: DataFrame
+    split_sizes: DataFrame
+    fit_seconds: float
     label_shares: DataFrame | None = None
     text_lengths: DataFrame | None = None
 
 
+def missing_labels(split: DataFrame, config: ModelConfig) -> DataFrame:
+    """(split, category): trainable categories that a split lacks, excluded labels left out."""
+    kept = filters.without_excluded_labels(split, config)
+    parts = [
+        metrics.missing_labels(kept.where(F.col("split") == name), config)
+        .where(~F.col("category").isin(list(config.excluded)))
+        .select(F.lit(name).alias("split"), "category")
+        for name in ("train", "validation", "test")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def record(outcome: TrainingOutcome, path: str) -> DataFrame:
+    """Write what a training run found as (metric, category, value) rows of JSON; returns them."""
+
+    def rows(df: DataFrame, metric: str, category: str, value: str) -> DataFrame:
+        return df.select(
+            F.lit(metric).alias("metric"), F.col(category).cast("string").alias("category"),
+            F.col(value).cast("string").alias("value"),
+        )
+
+    spark = outcome.metrics.sparkSession
+    verdict = outcome.verdict
+    parts = [
+        outcome.metrics.select("metric", "category", F.col("value").cast("string").alias("value")),
+        rows(outcome.split_sizes, "split_size", "split", "n_rows"),
+        rows(outcome.missing_labels, "missing_label", "split", "category"),
+        rows(outcome.golden_failures, "golden_failure", "sample", "predicted"),
+        verdict.select(F.inline(F.array(*[
+            F.struct(F.lit("verdict").alias("metric"), F.lit(c).alias("category"),
+                     F.col(c).cast("string").alias("value"))
+            for c in verdict.columns
+        ]))),
+        spark.createDataFrame(
+            [("fit_seconds", "", f"{outcome.fit_seconds:.1f}")],
+            "metric string, category string, value string",
+        ),
+    ]
+    if outcome.label_shares is not None:
+        parts.append(rows(outcome.label_shares, "label_share", *outcome.label_shares.columns))
+        parts.append(rows(outcome.text_lengths, "text_length", *outcome.text_lengths.columns))
+    found = reduce(DataFrame.unionByName, parts)
+    found.write.mode("overwrite").json(path)
+    return spark.read.schema(found.schema).json(path)
+
+
 def train(
     training: DataFrame,
     golden: DataFrame,
@@ -68,11 +118,14 @@ def train(
     split = stage(
         sampling.stratified_split(training, config.test_share, config.validation_share), "split"
     )
+    sizes = split.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
     learned = split.where(F.col("split") == "train")
     # The limits are of the whole split, before excluded labels are dropped.
     low, high = features.amount_range(learned).first()
     limits = features.fixed_limits(low, high)
+    began = time.monotonic()
     fitted = classifier.fit(features.features(learned, config, limits), config, **fit_options)
+    seconds = time.monotonic() - began
     model = TrainedModel(fitted, config, low, high, mcc)
 
     tested = stage(model.rate(split.where(F.col("split") == "test")), "rated-test-split")
@@ -82,7 +135,9 @@ def train(
         metrics=evaluate.evaluate(tested, config),
         verdict=evaluate.release_verdict(tested, judged, config),
         golden_failures=metrics.golden_failures(judged),
-        missing_labels=metrics.missing_labels(learned, config),
+        missing_labels=missing_labels(split, config),
+        split_sizes=sizes,
+        fit_seconds=seconds,
     )
     if production is not None:
         outcome.label_shares = metrics.label_distribution(model.rate(production))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date
 from functools import reduce
 from typing import Mapping, Sequence
 
@@ -27,11 +28,20 @@ class DomainTables:
 
 @dataclass(frozen=True)
 class SampleSettings:
-    window_start: str
-    window_end: str
+    """Sizes and production window; jobs fill in a window without dates (see `with_window`)."""
+
+    window_start: str | None = None
+    window_end: str | None = None
     per_country: int | None = None
     production: int | None = None
 
+    def with_window(self, run_time: str, config: ModelConfig) -> "SampleSettings":
+        """The same settings with the last days before the run where no window is given."""
+        start, end = filters.default_window(
+            date.fromisoformat(run_time[:10]), config.production_window_days
+        )
+        return replace(self, window_start=self.window_start or start, window_end=self.window_end or end)
+
 
 def labelled_base(tables: DomainTables, config: ModelConfig, domain: str) -> DataFrame:
     """Every labelled transaction of eligible users and accounts, narrowed to what is sampled."""
@@ -81,7 +91,7 @@ def from_start(
     )
 
 
-def _samples(
+def samples(
     domains: Mapping[str, DomainTables], config: ModelConfig, settings: SampleSettings
 ) -> tuple[DataFrame, DataFrame]:
     pairs = {
@@ -101,7 +111,7 @@ def preprocess_retail(
 ) -> tuple[DataFrame, DataFrame]:
     """Training and production tables from user feedback."""
     prepared = {d: from_start(t, config, inspection) for d, t in domains.items()}
-    return _samples(prepared, config, settings)
+    return samples(prepared, config, settings)
 
 
 def with_generated_feedback(
@@ -133,6 +143,25 @@ def with_generated_feedback(
     )
 
 
+def generated_domains(
+    domains: Mapping[str, DomainTables],
+    config: ModelConfig,
+    packs: Mapping[str, rules.Pack],
+    run_time: str,
+    inspection: DataFrame | None = None,
+    business_only: Sequence[str] = (),
+    **business_options,
+) -> dict[str, DomainTables]:
+    """The domains with generated feedback in place of their own."""
+    return {
+        domain: with_generated_feedback(
+            from_start(tables, config, inspection), config, domain, packs[domain], run_time,
+            domain in business_only, **business_options,
+        )
+        for domain, tables in domains.items()
+    }
+
+
 def preprocess_sme(
     domains: Mapping[str, DomainTables],
     config: ModelConfig,
@@ -144,10 +173,7 @@ def preprocess_sme(
     **business_options,
 ) -> tuple[DataFrame, DataFrame]:
     """Training and production tables from generated labels."""
-    prepared = {}
-    for domain, tables in domains.items():
-        prepared[domain] = with_generated_feedback(
-            from_start(tables, config, inspection), config, domain, packs[domain], run_time,
-            domain in business_only, **business_options,
-        )
-    return _samples(prepared, config, settings)
+    prepared = generated_domains(
+        domains, config, packs, run_time, inspection, business_only, **business_options
+    )
+    return samples(prepared, config, settings)

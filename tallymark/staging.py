@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
+_open: list[list[str]] = []
 
 
 def work_root(spark: SparkSession) -> str:
@@ -25,7 +28,23 @@ def work_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+@contextmanager
+def kept_until_done(spark: SparkSession) -> Iterator[None]:
+    """Delete the folders that are made inside, once the block ends: after its last write."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _open.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

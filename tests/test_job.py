@@ -2,6 +2,8 @@
 
 from datetime import date
 
+import pytest
+
 from tallymark.config import RETAIL, SME
 from tallymark.operators import filters
 from tallymark.operators.rules import load_pack
@@ -79,6 +81,31 @@ def test_retail(spark, tmp_path):
     assert "t3" not in labels and "t1" not in labels
     assert labels["t0"] == "Pets" and labels["t4"] == "Bills"
     assert spark.read.json(f"{root}/out/metadata").count() == len(found)
+    assert found["held_out.app"] == "1" and found["window"] == "2020-01-01/2020-01-31"
+    sources = {m.rpartition(".")[2]: v for m, v in found.items() if m.startswith("feedback.app.")}
+    assert sorted(sources.values()) == ["4", "40"]
+    assert {"seconds.training", "seconds.production", "seconds.inspection"} <= found.keys()
+
+
+def test_default_production_window_and_required_deployment(spark, tmp_path):
+    settings = SampleSettings().with_window("2020-04-01 10:00", RETAIL)
+    assert (settings.window_start, settings.window_end) == ("2020-03-02", "2020-04-01")
+    assert SampleSettings("2020-01-01").with_window("2020-04-01", RETAIL).window_start == "2020-01-01"
+    with pytest.raises(ValueError):
+        RETAIL.for_deployment({}, "site")
+    with pytest.raises(ValueError):
+        preprocess.run(spark, RETAIL.with_values(test_site_id=None), {}, str(tmp_path), SETTINGS, "2020-04-01")
+
+
+def test_staged_folders_go_when_the_job_is_done(spark, tmp_path):
+    from tallymark import staging
+
+    with staging.kept_until_done(spark):
+        path = staging.new_folder(spark, "part")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 def test_sme(spark, tmp_path):
@@ -107,6 +134,8 @@ def test_sme(spark, tmp_path):
     assert kinds == {
         ("Invoice 12", "Revenue"), ("hotel", "Travel Expenses"), ("xero and payroll", "Salaries"),
     }
+    generated = spark.read.parquet(f"{root}/out/feedback/app").collect()
+    assert {r.category for r in generated} == {"Revenue", "Travel Expenses", "Salaries"}
     # Test users get no generated labels at all.
     assert not {r.user_id for r in training} & {"u1", "u2"}
 
@@ -115,9 +144,10 @@ def test_default_window():
     assert filters.default_window(date(2024, 3, 1)) == ("2024-01-31", "2024-03-01")
 
 
-def test_train_and_judge(spark):
+def test_train_and_judge(spark, tmp_path):
     from pyspark.sql import functions as F
 
+    from tallymark.plans.train import record as train_record
     from tallymark.plans.train import train
     from tallymark.sources import golden
 
@@ -138,9 +168,18 @@ def test_train_and_judge(spark):
     verdict = outcome.verdict.first()
     assert verdict.golden_passed and verdict.metrics_passed and verdict.is_performant
     assert outcome.golden_failures.count() == 0
-    assert outcome.missing_labels.count() == len(RETAIL.categories) - 4
+    missing = [(r.split, r.category) for r in outcome.missing_labels.collect()]
+    absent = set(RETAIL.trainable) - set(labels)
+    assert sorted(missing) == sorted((s, c) for s in ("train", "validation", "test") for c in absent)
     measured = {(r.metric, r.category): r.value for r in outcome.metrics.collect()}
     assert measured["support", "weighted avg"] == 40.0
     assert measured["recall", "weighted avg"] == 1.0
     assert abs(outcome.label_shares.agg(F.sum("share")).first()[0] - 1) < 1e-9
     assert outcome.text_lengths.count() == 25
+
+    kept = train_record(outcome, f"{tmp_path}/record").collect()
+    found = {(r.metric, r.category): r.value for r in kept}
+    assert found["split_size", "test"] == "40" and found["verdict", "is_performant"] == "true"
+    assert float(found["fit_seconds", ""]) >= 0 and found["recall", "weighted avg"] == "1.0"
+    assert sum(m == "missing_label" for m, _ in ((r.metric, r.category) for r in kept)) == len(missing)
+    assert sum(r.metric == "text_length" for r in kept) == 25
