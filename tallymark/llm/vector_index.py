@@ -32,7 +32,8 @@ from tallymark.llm.graph import components, measured, staged
 
 SAMPLE = 10_000
 QUERIES = 300
-MARGIN = 1.5
+MARGIN = 2.0
+LEAST_REACH = 0.008
 BLOCK = 2048
 CELL_ROWS = 64
 MOST_CENTROIDS = 1024
@@ -164,7 +165,7 @@ def _reach(classes: DataFrame, grids: dict, queries: dict, least: float, kind: s
 
     found = map_arrow(classes.select("raw"), run, "most double").agg(F.max("most")).first()[0]
     complete = 2 - 2 * least
-    return complete if found is None or found < 0 else min(complete, MARGIN * found + 1e-3)
+    return complete if found is None or found < 0 else min(complete, max(LEAST_REACH, MARGIN * found))
 
 
 def _by_size(column: pa.Array, kind: str) -> Iterator[tuple[int, np.ndarray]]:
