@@ -48,8 +48,9 @@ def _fold(col: Column, marks: str) -> Column:
 def fold_accents(col: Column) -> Column:
     """Drop nonspacing marks; NULL becomes ''.
 
-    Characters that decompose into several base characters (Hangul syllables) stay composed,
-    which is canonically the same text.
+    Characters that decompose into several base characters stay composed: Hangul syllables, which
+    is canonically the same text, and U+0CCB and U+0DDD, which so keep a mark. Rules and models read
+    a-z only and see no difference.
     """
     return _fold(col, r"\p{Mn}")
 
