@@ -40,18 +40,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, component): the least vertex reachable over `edges` (columns u, v; any order).
 
-    Alternating large and small stars; every round is a written table, and the loop ends when a
-    round changes nothing. Vertices without an edge to another vertex are left out.
+    Alternating large and small stars; every round is a written table. The loop ends when each
+    vertex is either the centre of a star or tied to one centre. Vertices without an edge to another
+    vertex are left out.
     """
-    oriented = edges.filter("u != v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
-    ).distinct()
-    current, seen = staged(oriented, "edges"), None
+    current = staged(
+        edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
+        "edges",
+    )
     while True:
-        sign = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if sign == seen:
+        ends = current.select(F.col("u").alias("x"), F.lit(1).alias("tied"), F.lit(0).alias("centre")).union(
+            current.select("v", F.lit(0), F.lit(1))
+        ).groupBy("x").agg(F.sum("tied").alias("tied"), F.max("centre").alias("centre"))
+        if ends.filter("tied + centre > 1").isEmpty():
             return current.select(F.col("u").alias("vertex"), F.col("v").alias("component")).union(
                 current.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct()
             )
-        seen = sign
-        current = staged(_small_star(_large_star(current).distinct()).distinct(), "edges")
+        current = staged(_small_star(_large_star(current)).distinct(), "edges")

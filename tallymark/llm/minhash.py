@@ -9,12 +9,21 @@ A document's set is its distinct shingles, each a 64-bit hash; its sketch is the
    rare values first, sharing that many means sharing one among the first `size - need + 1`, so
    only those are listed. A value that a third of all documents hold is listed only for documents
    whose sketches consist largely of such values: near copies of each other.
-3. A list is not expanded into its pairs. In rounds, a few leaders of each list meet the members
-   outside their own component; the union sketch of the two estimates their similarity and, if it
-   may reach t, the full sets decide. Links merge components; leaders have then met everybody and
-   leave their list; a list ends when one component is left in it. The number of leaders grows
-   eightfold by round. No pair of different components within a list is left untried.
-4. Components of classes give those of documents.
+3. A list is not expanded into its pairs. The class whose values are the most frequent meets every
+   member: the union sketch of the two estimates their similarity and, if it may reach t, the full
+   sets decide. Links merge components; a list with one component left is done.
+4. What is left are classes that share values with others of another component. Among these the full
+   sets are listed in the same way, now exactly: rare values first, a pair with a similarity of t
+   shares one among the first `n - ceil(t n) + 1` of both, and the positions of the first shared
+   value bound their overlap from above. Lists are cut into bands of set size: a class resides in
+   the band of its size if its position allows a partner as long as itself, and visits the bands of
+   the shorter partners that its position allows. In rounds a few residents of each list meet its
+   visitors of other components, and then leave; their number grows thirtyfold by round. No pair that
+   may link is left untried.
+5. Before two sets are fetched, their parity maps are compared: each value flips one of 512 bits, so
+   the bits in which two maps differ are at most the values that only one set has. Pairs that differ
+   in more bits than the similarity allows are no links, whatever their sketches say.
+6. Components of classes give those of documents.
 """
 
 from __future__ import annotations
@@ -25,7 +34,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.batches import Words, list_array, map_arrow, sliced, text_array
@@ -69,9 +78,18 @@ def _lists(sets: list[np.ndarray]) -> pa.ListArray:
     return list_array(values.view(np.int64), lengths, pa.int64())
 
 
+_WORDS = 8
+
+
+def parity(values: np.ndarray) -> np.ndarray:
+    """512 bits, each the parity of the number of values whose top nine bits are its place."""
+    odd = np.bincount((values >> np.uint64(55)).astype(np.int64), minlength=64 * _WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def sketches(docs: DataFrame, size: int, keep: int | None) -> DataFrame:
-    """doc_id, n (set size), key (digest of the set, null if empty), vals (the `keep` least values
-    of the set, or the whole set). `docs`: doc_id, text."""
+    """doc_id, n (set size), key (digest of the set, null if empty), bits (parity map), vals (the
+    `keep` least values of the set, or the whole set). `docs`: doc_id, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -81,12 +99,16 @@ def sketches(docs: DataFrame, size: int, keep: int | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(keys, pa.binary()), _lists([s[:keep] for s in sets]),
+                        pa.array(keys, pa.binary()),
+                        list_array(
+                            np.concatenate([parity(s) for s in sets]), np.full(len(sets), _WORDS), pa.int64()
+                        ),
+                        _lists([s[:keep] for s in sets]),
                     ],
-                    names=["doc_id", "n", "key", "vals"],
+                    names=["doc_id", "n", "key", "bits", "vals"],
                 )
 
-    return map_arrow(docs, run, "doc_id long, n long, key binary, vals array<bigint>")
+    return map_arrow(docs, run, "doc_id long, n long, key binary, bits array<bigint>, vals array<bigint>")
 
 
 def _arrays(column: pa.ListArray) -> list[np.ndarray]:
@@ -118,8 +140,7 @@ def _estimate(size: int, percent: int):
         union = np.union1d(va, vb)
         if na + nb <= size or len(union) < size:
             return 100 * len(np.intersect1d(va, vb, assume_unique=True)) >= percent * len(union)
-        union = union[:size]
-        top = union[-1]
+        top = union[size - 1]
         both = np.intersect1d(va[va <= top], vb[vb <= top], assume_unique=True)
         return len(both) >= need
 
@@ -134,22 +155,55 @@ def _confirm(percent: int):
     return linked
 
 
-def _inverted_lists(classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(value, cls): each class under the rarest of its retained values, as many as it takes."""
-    values = classes.select("cls", "n", F.explode("vals").alias("value"))
+def _in_order(sets: DataFrame) -> DataFrame:
+    """cls, n, order (frequency and value of those that several classes have, rare first), weight."""
+    values = sets.select("cls", "n", F.explode("vals").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("df")).filter("df >= 2")
+    return values.join(shared, "value").groupBy("cls", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "value"))).alias("order"), F.avg("df").alias("weight")
+    ).join(sets.select("cls", "bits"), "cls")
+
+
+def _sketch_lists(classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """value, cls, n, weight, bits: each class under the rarest of its retained values."""
     need = F.least(
         F.lit(shared_at_least(size, percent)), F.ceil(F.col("n") * percent / 100).cast("int")
     )
-    # values of one document only come first in the order and meet nobody
-    rare = (
-        values.join(shared, "value").groupBy("cls", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("order"))
-        .withColumn("take", F.size("order") - need + 1).filter("take > 0")
-    )
-    return rare.select("cls", F.explode(F.slice("order", F.lit(1), F.col("take"))).alias("x")).select(
-        F.col("x.value").alias("value"), "cls"
+    # values of one class only would come first and meet nobody
+    rare = _in_order(classes).withColumn("take", F.size("order") - need + 1).filter("take > 0")
+    return rare.select(
+        F.explode(F.slice("order", F.lit(1), F.col("take"))).alias("x"), "cls", "n", "weight", "bits"
+    ).select("x.value", "cls", "n", "weight", "bits")
+
+
+_BAND = 0.02
+
+
+def _set_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """value, band, resident, cls, n, place, weight, bits: residents and visitors of exact lists."""
+    most = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    unique = F.col("n") - F.size("order")
+    taken = F.greatest(F.lit(0), F.least(F.size("order"), (most - unique).cast("int")))
+    listed = _in_order(sets).withColumn("unique", unique).withColumn("take", taken).filter("take > 0")
+    rows = listed.select(
+        F.posexplode(F.slice("order", F.lit(1), F.col("take"))).alias("k", "x"), "cls", "n", "weight", "unique",
+        "bits",
+    ).select("x.value", "cls", "n", "weight", "bits", (F.col("unique") + F.col("k") + 1).alias("place"))
+
+    def band(n):
+        return F.floor(F.log(n) / F.log(F.lit(1 + _BAND)) + 1e-9)
+
+    low = F.ceil(F.col("n") * percent / 100)
+    high = F.least(
+        F.col("n"), F.floor((F.col("n") - F.col("place") + 1) * (100 + percent) / percent) - F.col("n")
     )
+    # as the shorter of two, it shares at least 2t / (1 + t) of its own values
+    alone = F.col("n") - F.col("place") + 1 >= F.ceil(F.col("n") * 2 * percent / (100 + percent))
+    residents = rows.filter(alone).withColumn("band", band(F.col("n"))).withColumn("resident", F.lit(True))
+    visitors = rows.filter(high >= low).withColumn(
+        "band", F.explode(F.sequence(band(low), band(high)))
+    ).withColumn("resident", F.lit(False))
+    return residents.unionByName(visitors)
 
 
 def _with_values(pairs: DataFrame, values: DataFrame) -> DataFrame:
@@ -158,55 +212,118 @@ def _with_values(pairs: DataFrame, values: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a")
 
 
-def _linked_classes(docs: DataFrame, classes: DataFrame, size: int, keep: int, percent: int) -> DataFrame:
-    """(cls, comp) of every class that has a link or was a candidate for one."""
-    lists = staged(_inverted_lists(classes, keep, percent), "lists")
+def _overlap(percent: int) -> Column:
+    """The least overlap of sets of sizes na and nb with the similarity."""
+    return F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
+
+
+def _may_fit(percent: int) -> Column:
+    """Sizes na, nb and parity maps ba, bb allow the similarity."""
+    differ = sum(
+        (F.bit_count(F.get("ba", F.lit(k)).bitwiseXOR(F.get("bb", F.lit(k)))) for k in range(_WORDS)), F.lit(0)
+    )
+    return (
+        (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+        & (differ <= F.col("na") + F.col("nb") - 2 * _overlap(percent))
+    )
+
+
+def _mixed(lists: DataFrame, comps: DataFrame, keys: list[str]) -> DataFrame:
+    """The lists that hold several components, each row with its component."""
+    rows = lists.join(comps, "cls")
+    mixed = rows.groupBy(keys).agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return rows.join(mixed.filter("low != high").select(keys), keys)
+
+
+def _pairs(members: DataFrame, leaders: DataFrame, keys: list[str], fits: Column) -> DataFrame:
+    """(a, b, ca, cb), a < b: leaders (a) with the members (b) of their lists that they may fit."""
+    met = members.join(leaders, keys).filter((F.col("ca") != F.col("cb")) & fits)
+    swap = F.col("a") > F.col("b")
+    return met.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+        F.when(swap, F.col("cb")).otherwise(F.col("ca")).alias("ca"),
+        F.when(swap, F.col("ca")).otherwise(F.col("cb")).alias("cb"),
+    ).distinct()
+
+
+def _merge(comps: DataFrame, links: DataFrame) -> DataFrame:
+    merged = components(links.select(F.col("ca").alias("u"), F.col("cb").alias("v")))
+    merged = merged.select(F.col("vertex").alias("comp"), F.col("component").alias("new"))
+    return staged(
+        comps.join(merged, "comp", "left").select("cls", F.coalesce("new", "comp").alias("comp")), "comps"
+    )
+
+
+def _by_sketches(classes: DataFrame, sets: DataFrame, lists: DataFrame, keep: int, percent: int) -> DataFrame:
+    """(cls, comp) after the leader of each list has met its members."""
+    first = F.min(F.struct(-F.col("weight"), "cls", "n", "bits")).alias("lead")
+    leaders = lists.groupBy("value").agg(first).select(
+        "value", F.col("lead.cls").alias("a"), F.col("lead.cls").alias("ca"), F.col("lead.n").alias("na"),
+        F.col("lead.bits").alias("ba"),
+    )
+    members = lists.select(
+        "value", F.col("cls").alias("b"), F.col("cls").alias("cb"), F.col("n").alias("nb"),
+        F.col("bits").alias("bb"),
+    )
+    pairs = _pairs(members, leaders, ["value"], _may_fit(percent))
+    maybe = staged(_pairs_by(_with_values(pairs, classes), _estimate(keep, percent)), "pairs")
+    links = _pairs_by(_with_values(maybe, sets), _confirm(percent))
     comps = staged(lists.select("cls").distinct().withColumn("comp", F.col("cls")), "comps")
-    members = classes.join(comps.select("cls"), "cls", "left_semi")
-    sketch = staged(members.select("cls", "n", "vals"), "candidates")
+    return _merge(comps, links)
+
+
+def _by_sets(sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """(cls, comp) after all pairs of `sets` that may link have been tried."""
+    keys = ["value", "band"]
+    lists, slots = staged(_set_lists(sets, percent), "lists"), 32
+    left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    while True:
+        lists = staged(_mixed(lists.drop("comp"), comps, keys), "lists")
+        if lists.isEmpty():
+            return comps
+        slot = F.pmod(F.xxhash64("cls", F.lit(slots)), F.lit(slots)).alias("slot")
+        first = F.min(F.struct(-F.col("weight"), "cls", "comp", "n", "place", "bits")).alias("lead")
+        leaders = staged(
+            lists.filter("resident").groupBy(*keys, slot).agg(first).select(
+                *keys, F.col("lead.cls").alias("a"), F.col("lead.comp").alias("ca"),
+                F.col("lead.n").alias("na"), F.col("lead.place").alias("pa"),
+                F.col("lead.bits").alias("ba"),
+            ),
+            "leaders",
+        )
+        visitors = lists.filter("not resident").select(
+            *keys, F.col("cls").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"),
+            F.col("place").alias("pb"), F.col("bits").alias("bb"),
+        )
+        pairs = _pairs(visitors, leaders, keys, _may_fit(percent) & (left + 1 >= _overlap(percent)))
+        links = staged(_pairs_by(_with_values(pairs, sets), _confirm(percent)), "links")
+        met = leaders.select(*keys, F.col("a").alias("cls"), F.lit(True).alias("resident"))
+        lists = lists.join(met, [*keys, "cls", "resident"], "left_anti")
+        # a list without residents is done
+        lists = lists.join(lists.filter("resident").select(keys).distinct(), keys, "left_semi")
+        if not links.isEmpty():
+            comps = _merge(comps, links)
+        slots *= 32
+
+
+def _linked_classes(docs: DataFrame, classes: DataFrame, keep: int, size: int, percent: int) -> DataFrame:
+    """(cls, comp) of every class that has a link or was a candidate for one."""
+    lists = staged(_sketch_lists(classes, keep, percent), "lists")
+    members = staged(
+        classes.join(lists.select("cls").distinct(), "cls", "left_semi").select("cls", "key", "doc", "n", "bits", "vals"),
+        "members",
+    )
     wanted = measured(members.select(F.coalesce("doc", F.lit(_NO_ID)).alias("doc")).distinct(), "wanted")
     # a document is read again only if its class is in a list; the digest picks the right row
     again = docs.join(wanted, F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("doc"), "left_semi")
     sets = staged(
         sketches(again, size, None).join(members.select("cls", "key"), "key")
-        .select("cls", "n", "vals").dropDuplicates(["cls"]),
+        .select("cls", "n", "bits", "vals").dropDuplicates(["cls"]),
         "sets",
     )
-    leaders_of_list = 1
-    while True:
-        open_lists = lists.join(comps, "cls")
-        mixed = open_lists.groupBy("value").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high")
-        ).filter("low != high").select("value")
-        lists = staged(open_lists.join(mixed, "value").select("value", "cls", "comp"), "lists")
-        if lists.isEmpty():
-            return comps
-        slot = F.pmod(F.xxhash64("cls", F.lit(leaders_of_list)), F.lit(leaders_of_list))
-        leaders = lists.groupBy("value", slot.alias("slot")).agg(
-            F.min(F.struct("cls", "comp")).alias("lead")
-        ).select("value", F.col("lead.cls").alias("a"), F.col("lead.comp").alias("ca"))
-        leaders = staged(leaders, "leaders")
-        members_ = lists.select("value", F.col("cls").alias("b"), F.col("comp").alias("cb"))
-        meet = members_.join(leaders, "value").filter("ca != cb")
-        pairs = meet.select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-            F.when(F.col("a") < F.col("b"), F.col("ca")).otherwise(F.col("cb")).alias("ca"),
-            F.when(F.col("a") < F.col("b"), F.col("cb")).otherwise(F.col("ca")).alias("cb"),
-        ).distinct()
-        fit = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-        maybe = staged(
-            _pairs_by(_with_values(pairs, sketch).filter(fit), _estimate(keep, percent)), "pairs"
-        )
-        links = _pairs_by(_with_values(maybe, sets), _confirm(percent))
-        merged = components(links.select(F.col("ca").alias("u"), F.col("cb").alias("v")))
-        merged = merged.select(F.col("vertex").alias("comp"), F.col("component").alias("new"))
-        comps = staged(
-            comps.join(merged, "comp", "left").select("cls", F.coalesce("new", "comp").alias("comp")),
-            "comps",
-        )
-        met = leaders.select("value", F.col("a").alias("cls"))
-        lists = lists.select("value", "cls").join(met, ["value", "cls"], "left_anti")
-        leaders_of_list *= 8
+    comps = _by_sketches(members.select("cls", "n", "vals"), sets, lists, keep, percent)
+    open_ = _mixed(lists, comps, ["value"]).select("cls").distinct()
+    return _by_sets(staged(sets.join(open_, "cls", "left_semi"), "open"), comps, percent)
 
 
 def near_duplicates(
@@ -225,11 +342,14 @@ def near_duplicates(
     rows = staged(sketches(docs, size, keep), "sketches")
     classes = staged(
         rows.filter(F.col("key").isNotNull()).groupBy("key")
-        .agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("vals").alias("vals"))
+        .agg(
+            F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+            F.first("vals").alias("vals"),
+        )
         .withColumn("cls", F.monotonically_increasing_id()),
         "classes",
     )
-    comps = _linked_classes(docs, classes, size, keep, percent)
+    comps = _linked_classes(docs, classes, keep, size, percent)
     comp = F.coalesce("comp", "cls")
     named = classes.select("cls", "key", "doc").join(comps, "cls", "left").withColumn("comp", comp)
     least = named.groupBy("comp").agg(F.min("doc").alias("component_id"))

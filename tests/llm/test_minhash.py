@@ -4,10 +4,11 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.llm.minhash import near_duplicates, shared_at_least
+from tallymark.llm.minhash import near_duplicates, parity, shared_at_least
 from tallymark.llm.q_dedup import op9
 
 
@@ -121,6 +122,16 @@ def test_shared_values_bound():
     assert 15 <= shared_at_least(48, 80) < shared_at_least(48, 85) <= 30
 
 
+def test_parity_maps_never_differ_in_more_bits_than_the_sets_in_values():
+    pick = np.random.default_rng(1)
+    for size in (1, 50, 400, 5000):
+        both = pick.integers(0, 1 << 63, size, dtype=np.uint64)
+        a = np.unique(np.append(both, pick.integers(0, 1 << 63, size // 4, dtype=np.uint64)))
+        b = np.unique(np.append(both, pick.integers(0, 1 << 63, size // 3, dtype=np.uint64)))
+        differ = sum(int(x).bit_count() for x in (parity(a) ^ parity(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b)) and (size > 100 or differ > 0 or len(a) == len(b))
+
+
 def test_query_equals_all_pairs(spark, folder):
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(tuple(r) for r in op9(spark, folder).collect()) == sorted(brute(rows, 85))
