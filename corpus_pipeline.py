@@ -36,10 +36,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (binary, little-endian unsigned 32-bit), their number, and the text they give."""
-    path = vocabulary()
-    encoded = bpe.encode(docs.withColumnRenamed("text", "__text"), path, text="__text").drop("__text")
-    decoded = bpe.decode(encoded, path, text="text")
-    return decoded.select(
+    kept = docs.drop("ids", "n_tokens").withColumnRenamed("text", "__text")
+    encoded = bpe.encode(kept, vocabulary(), text="__text", decoded="text")
+    return encoded.select(
         *docs.drop("ids", "n_tokens").columns,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
     )

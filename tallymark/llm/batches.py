@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 from tallymark.llm.hashing import range_hashes
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT_BYTES = "67108864b"
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -36,8 +38,21 @@ def map_arrow(
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: T.StructType | str,
 ) -> DataFrame:
-    importable(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """mapInArrow with small batches, and memory given back at the end of each task.
+
+    Rows hold whole texts; Spark's default of 64 MB a batch is held several times over on the way to
+    Python and back. A limit that the session has set itself is left alone.
+    """
+    spark = df.sparkSession
+    importable(spark)
+    if spark.conf.get(_BATCH_BYTES) == _DEFAULT_BYTES:
+        spark.conf.set(_BATCH_BYTES, "8m")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

@@ -203,16 +203,23 @@ def worker_vocabulary(data: bytes) -> tuple[Vocabulary, WordTable]:
     return _workers[key]
 
 
-def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids",
+    decoded: str | None = None,
+) -> DataFrame:
     """`df` with the token ids of `text` as a binary column of little-endian unsigned 32-bit ids.
 
     Null and empty texts have no ids (an empty binary). Special strings inside a text are their
-    token. A column of the name `ids` is replaced; every other column stays, repeated rows too.
+    token. `decoded` names a column for the text that the ids give, as `decode` makes it, in the
+    same pass. Columns of these names are replaced; every other column stays, repeated rows too.
     """
     data = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
-    kept = without(df, ids)
+    added = [T.StructField(ids, T.BinaryType())]
+    if decoded is not None:
+        added.append(T.StructField(decoded, T.StringType()))
+    kept = without(df, *(f.name for f in added))
     column = kept.columns.index(text)
-    schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.BinaryType())])
+    schema = T.StructType([*kept.schema.fields, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, table = worker_vocabulary(data.value)
@@ -224,9 +231,11 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
                 packed = string_array(
                     flat.astype("<u4").view(np.uint8), np.cumsum(lengths) * 4, pa.binary()
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, packed], names=[*whole.schema.names, ids]
-                )
+                columns = [*batch.columns, packed]
+                if decoded is not None:
+                    joined, ends = vocabulary.decode(flat, lengths)
+                    columns.append(_utf8(string_array(joined, ends, pa.binary())))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return map_arrow(kept, run, schema)
 

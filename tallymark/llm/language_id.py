@@ -29,8 +29,8 @@ from tallymark.llm.hashing import HashIndex, range_hashes
 from tallymark.llm.letters import LetterWords
 
 PER_LANGUAGE = 3000
-WORDS = 50_000
-GRAMS = 20_000
+WORDS = 30_000
+GRAMS = 10_000
 ORDERS = 5
 MOST_LANGUAGES = 500
 _EDGE = 0x20
@@ -171,10 +171,11 @@ def fit(
         _counts(sample).groupBy("lang", "order", "key").agg(F.sum("n").alias("n")), "language"
     )
     rank = F.row_number().over(Window.partitionBy("lang", "order").orderBy(F.desc("n"), "key"))
+    number = F.create_map(*[F.lit(x) for k, name in enumerate(languages) for x in (name, k)])
     kept = (
         counts.withColumn("rank", rank)
         .filter(F.col("rank") <= F.when(F.col("order") == 0, words).otherwise(grams))
-        .select("lang", "order", "key", "n").toPandas()
+        .select(number[F.col("lang")].alias("column"), "order", "key", F.col("n").cast("int")).toPandas()
     )
     sums = counts.groupBy("lang", "order").agg(F.sum("n").alias("total")).collect()
     total = {(r["lang"], r["order"]): r["total"] for r in sums}
@@ -183,8 +184,7 @@ def fit(
         some = kept[kept.order == order]
         keys, row = np.unique(some.key.to_numpy(np.int64).view(np.uint64), return_inverse=True)
         table = np.zeros((len(keys), len(languages)))
-        column = some.lang.map({name: k for k, name in enumerate(languages)}).to_numpy(np.int64)
-        table[row, column] = some.n.to_numpy()
+        table[row, some.column.to_numpy()] = some.n.to_numpy()
         every = np.array([total.get((name, order), 1) for name in languages], float)
         all_keys.append(keys)
         logs.append(np.log(np.maximum(table, 0.5) / every))

@@ -118,7 +118,7 @@ class WordTable:
     It forgets everything when it holds more than `most` words, so its memory is bounded.
     """
 
-    def __init__(self, encode_words, most: int = 1_000_000):
+    def __init__(self, encode_words, most: int = 250_000):
         self._encode, self._most = encode_words, most
         self._clear()
 

@@ -96,6 +96,8 @@ def test_encode_and_decode_odd_rows(spark, library):
     assert sorted((r.doc_id or 0, r.decoded) for r in out) == sorted((r[0] or 0, r[1] or "") for r in ROWS)
     for r in out:
         assert np.frombuffer(r.ids, "<u4").tolist() == ids_of(library, r.text)
+    both = bpe.encode(df, vocabulary(), decoded="n_tokens").select("ids", "n_tokens")
+    assert sorted((bytes(r.ids), r.n_tokens) for r in both.collect()) == sorted((bytes(r.ids), r.decoded) for r in out)
     assert bpe.encode(df.limit(0), vocabulary()).count() == 0
     assert bpe.decode(df.limit(0).withColumn("ids", df.text.cast("binary")), vocabulary()).count() == 0
 
