@@ -5,9 +5,12 @@ The product of the two codebooks is a grid of cells, and a vector lives in the c
 centroids. A vector visits cells in the order of the multi-sequence algorithm: by the sum of two
 lower bounds, one for each half, of its squared distance to anything in the cell (the distance to
 the boundary between that cell's centroid and its own). It stops at a reach that is set by recall:
-some sampled vectors are compared with all rows, and the reach is the largest bound seen among
-their true pairs, with a margin; without any pairs it is the bound that no pair can exceed. At that
-bound the traversal is complete (`complete=True`).
+sampled vectors, no two of them partners, are compared with all rows of other classes. The reach is
+the largest bound seen among their true pairs, with a margin; what one half of the vectors give must
+find all pairs of RECALL of the other half, and it covers RECALL of pairs made at the loosest cosine
+allowed. Too few vectors with a partner lead to more vectors, up to the sample; if these are too few
+too, or recall is missed, the reach is the bound that no pair can exceed. At that bound the
+traversal is complete (`complete=True`).
 
 Vectors with equal values are one class that counts with its number. Each unordered pair of cells is
 visited from one side only. Cells are split into blocks of bounded size, and a group is one block of
@@ -33,7 +36,10 @@ from tallymark.llm.graph import components, measured, staged
 SAMPLE = 10_000
 QUERIES = 300
 MARGIN = 2.0
-LEAST_REACH = 0.008
+RECALL = 0.99
+ENOUGH = 100
+MADE = 4
+CHUNK = 1024
 BLOCK = 2048
 CELL_ROWS = 64
 MOST_CENTROIDS = 1024
@@ -137,42 +143,114 @@ def _fit_grid(sample: np.ndarray, rows: int) -> Grid:
     return Grid((kmeans(sample[:, :cut], k), kmeans(sample[:, cut:], k)))
 
 
-def _reach(classes: DataFrame, grids: dict, queries: dict, least: float, kind: str) -> float:
-    """The largest bound among the true pairs of the queries with all rows, with the margin."""
+def _leaders(x: np.ndarray, least: float) -> np.ndarray:
+    """Rows of x, in order, that are no partners of an earlier one: a group of copies asks once."""
+    kept: list[int] = []
+    for low in range(0, len(x), CHUNK):
+        part = x[low : low + CHUNK]
+        free = np.flatnonzero(~(part @ x[kept].T >= least).any(1)) if kept else np.arange(len(part))
+        near, taken = part[free] @ part[free].T >= least, []
+        for k in range(len(free)):
+            if not near[k, taken].any():
+                taken.append(k)
+        kept += (low + free[taken]).tolist()
+    return np.array(kept, np.int64)
+
+
+def _pair_bounds(home_x, bounds_x, home_y, bounds_y, k: int) -> np.ndarray:
+    """The bound of each pair of rows: the one with the smaller cell visits the other."""
+    row = np.arange(len(home_x))
+    return np.where(
+        home_x <= home_y,
+        bounds_x[0][row, home_y // k] + bounds_x[1][row, home_y % k],
+        bounds_y[0][row, home_x // k] + bounds_y[1][row, home_x % k],
+    )
+
+
+def _needs(classes: DataFrame, grids: dict, queries: dict, least: float, kind: str) -> np.ndarray:
+    """For each query with a partner of another class, the reach that finds all of its pairs."""
     data = classes.sparkSession.sparkContext.broadcast((grids, queries))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grids, queries = data.value
-        most = -1.0
-        for batch in batches:
-            for size, x in _by_size(batch.column(0), kind):
-                near = queries[size] @ x.T >= least if size in queries else np.zeros((0, 0), bool)
-                if not near.any():
-                    continue
-                q, x_at = np.nonzero(near)
-                k = len(grids[size].halves[1])
-                home_x, *bounds_x = grids[size].bounds(x[x_at])
-                home_q, *bounds_q = grids[size].bounds(queries[size][q])
-                row = np.arange(len(q))
-                # the one with the smaller cell visits the other
-                bound = np.where(
-                    home_q <= home_x,
-                    bounds_q[0][row, home_x // k] + bounds_q[1][row, home_x % k],
-                    bounds_x[0][row, home_q // k] + bounds_x[1][row, home_q % k],
-                )
-                most = max(most, float(bound.max()))
-        yield pa.RecordBatch.from_arrays([pa.array([most])], names=["most"])
-
-    found = map_arrow(classes.select("raw"), run, "most double").agg(F.max("most")).first()[0]
-    complete = 2 - 2 * least
-    return complete if found is None or found < 0 else min(complete, max(LEAST_REACH, MARGIN * found))
-
+        asked = {size: grids[size].bounds(x) for size, (_, x) in queries.items()}
+        most = {size: np.full(len(x), -1.0) for size, (_, x) in queries.items()}
+        for whole in batches:
+            for low in range(0, whole.num_rows, CHUNK):
+                batch = whole.slice(low, CHUNK)
+                for size, at, x in _rows_by_size(batch.column(1), kind):
+                    if size not in queries:
+                        continue
+                    own, q = queries[size]
+                    near = q @ x.T >= least
+                    near &= own[:, None] != batch.column(0).to_numpy()[at]
+                    i, j = np.nonzero(near)
+                    if not len(i):
+                        continue
+                    home_q, *bounds_q = asked[size]
+                    home_x, *bounds_x = grids[size].bounds(x)
+                    bound = _pair_bounds(
+                        home_q[i], [b[i] for b in bounds_q], home_x[j], [b[j] for b in bounds_x],
+                        len(grids[size].halves[1]),
+                    )
+                    np.maximum.at(most[size], i, bound)
+        for size, found in most.items():
+            hit = np.flatnonzero(found >= 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(queries[size][0][hit]), pa.array(found[hit])], names=["query", "need"]
+            )
 
-def _by_size(column: pa.Array, kind: str) -> Iterator[tuple[int, np.ndarray]]:
-    """Number of dimensions, and the unit vectors that have them."""
+    found = map_arrow(classes.select("cls", "raw"), run, "query long, need double")
+    rows = found.groupBy("query").agg(F.max("need").alias("need")).orderBy("query").collect()
+    return np.array([r.need for r in rows])
+
+
+def _at_limit(grids: dict, queries: dict, least: float) -> float:
+    """The bound that RECALL of made pairs stay within: queries turned towards each other up to a
+    cosine of `least`, the loosest link, of which the sample may have none."""
+    bounds, pick = [np.zeros(1)], np.random.default_rng(1)
+    for size, (_, x) in queries.items():
+        for _ in range(MADE if len(x) > 1 else 0):
+            y = x[(np.arange(len(x)) + pick.integers(1, len(x))) % len(x)]
+            y = y - (x * y).sum(1)[:, None] * x
+            length = np.sqrt((y * y).sum(1))
+            good = length > 1e-6
+            y = least * x[good] + np.sqrt(1 - least * least) * y[good] / length[good, None]
+            home_x, *bounds_x = grids[size].bounds(x[good])
+            home_y, *bounds_y = grids[size].bounds(y)
+            bounds.append(_pair_bounds(home_x, bounds_x, home_y, bounds_y, len(grids[size].halves[1])))
+    return float(np.quantile(np.concatenate(bounds), RECALL, method="higher"))
+
+
+def reach_of(needs: np.ndarray, floor: float, complete: float) -> float:
+    """The greatest need with the margin, or the floor; complete with too few needs, or if the reach
+    that one half of them gives has a recall under RECALL on the other half."""
+    if len(needs) < ENOUGH:
+        return complete
+    for one, other in ((needs[::2], needs[1::2]), (needs[1::2], needs[::2])):
+        if (other <= max(floor, MARGIN * one.max())).mean() < RECALL:
+            return complete
+    return min(complete, max(floor, MARGIN * float(needs.max())))
+
+
+def _reach(classes: DataFrame, grids: dict, sample: dict, least: float, kind: str, first: int) -> float:
+    """The reach by the recall of sampled pairs. `sample`: (classes, vectors) by length."""
+    leaders = {}
+    for size, (cls, x) in sample.items():
+        kept = _leaders(x, least)
+        leaders[size] = cls[kept], x[kept]
+    needs = np.zeros(0)
+    for most in (first, max((len(x) for _, x in leaders.values()), default=0)):
+        if len(needs) < ENOUGH:
+            needs = _needs(classes, grids, {s: (c[:most], x[:most]) for s, (c, x) in leaders.items()}, least, kind)
+    return reach_of(needs, _at_limit(grids, leaders, least), 2 - 2 * least)
+
+
+def _rows_by_size(column: pa.Array, kind: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number of dimensions, the rows that have them, and their unit vectors."""
     sizes = np.array([len(v) for v in column.to_pylist()], np.int64) // np.dtype(kind).itemsize
     for size in np.unique(sizes).tolist():
-        yield size, _units(column.filter(pa.array(sizes == size)), kind)
+        yield size, np.flatnonzero(sizes == size), _units(column.filter(pa.array(sizes == size)), kind)
 
 
 _OUT = "cls long, links long, label long"
@@ -312,11 +390,11 @@ def near_vectors(
     n = classes.count()
     rate = min(1.0, sample / max(1, n))
     drawn = classes.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(rate * (1 << 30)))
-    raw = pa.array([bytes(r.raw) for r in drawn.select("raw").orderBy("key").collect()], pa.binary())
-    by_size = dict(_by_size(raw, kind))
-    grids = {size: _fit_grid(x, n) for size, x in by_size.items() if size > 1}
-    asked = {size: x[:: max(1, len(x) // queries)] for size, x in by_size.items() if size in grids}
-    reach = 2 - 2 * least if complete else _reach(classes, grids, asked, least, kind)
+    drawn = drawn.select("cls", "raw").orderBy("key").collect()
+    cls, raw = np.array([r.cls for r in drawn], np.int64), pa.array([bytes(r.raw) for r in drawn], pa.binary())
+    asked = {size: (cls[at], x) for size, at, x in _rows_by_size(raw, kind) if size > 1}
+    grids = {size: _fit_grid(x, n) for size, (_, x) in asked.items()}
+    reach = 2 - 2 * least if complete else _reach(classes, grids, asked, least, kind, queries)
     # the second use visits again: what it sends is many times what it reads
     groups = _blocked(_visits(classes, grids, reach, kind), block)
     found = staged(

@@ -5,7 +5,7 @@ import pytest
 
 from tallymark.llm import vector_index
 from tallymark.llm.q_dedup import op8
-from tallymark.llm.vector_index import near_vectors, traversal
+from tallymark.llm.vector_index import near_vectors, reach_of, traversal
 
 
 def brute(rows, least=0.9):
@@ -105,6 +105,30 @@ def test_recall_on_the_test_table(spark, folder):
     assert sum(got.values()) >= 0.9 * sum(wanted.values())
 
 
+@pytest.mark.parametrize("hot", [0, 700])
+def test_rare_loose_links_are_found(spark, hot):
+    """Some pairs just over the limit, alone or beside a large group of tight copies."""
+    pick = np.random.default_rng(6)
+    x = pick.normal(size=(700, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = pick.normal(size=(40, 16))
+    u -= (u * x[:40]).sum(1, keepdims=True) * x[:40]
+    loose = 0.91 * x[:40] + np.sqrt(1 - 0.91**2) * u / np.linalg.norm(u, axis=1, keepdims=True)
+    tight = x[50] + pick.normal(size=(hot, 16)) * 1e-3
+    rows = list(enumerate(np.concatenate([x, loose, tight]).astype(np.float32).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted((tuple(r) for r in near_vectors(df).collect()), key=str) == brute(rows)
+
+
+def test_reach_is_complete_without_enough_pairs_or_recall():
+    assert reach_of(np.full(vector_index.ENOUGH - 1, 0.001), 0.01, 0.2) == 0.2
+    few = np.zeros(300)
+    assert reach_of(few, 0.01, 0.2) == 0.01
+    few[[2, 10, 24, 40]] = 0.05
+    assert reach_of(few, 0.01, 0.2) == 0.2
+    assert reach_of(np.tile([0.03, 0.03, 0.001], 100), 0.01, 0.2) == pytest.approx(0.06)
+
+
 def test_query_equals_all_pairs(spark, folder):
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()]
     assert sorted((tuple(r) for r in op8(spark, folder).collect()), key=str) == brute(rows)
