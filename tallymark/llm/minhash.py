@@ -43,6 +43,7 @@ from tallymark.llm.hashing import mix, shingle_hashes
 
 SKETCH = 48
 MISSES = 1e-9
+MOST_MARKS = 1_000_000
 _NO_ID = -(1 << 63)
 
 
@@ -89,7 +90,9 @@ def parity(values: np.ndarray) -> np.ndarray:
 
 def sketches(docs: DataFrame, size: int, keep: int | None) -> DataFrame:
     """doc_id, n (set size), key (digest of the set, null if empty), bits (parity map), vals (the
-    `keep` least values of the set, or the whole set). `docs`: doc_id, text."""
+    `keep` least values of the set, or the whole set), and mark if `docs` has it.
+    `docs`: doc_id, text, mark (binary, may be missing)."""
+    marked = len(docs.columns) > 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -103,12 +106,14 @@ def sketches(docs: DataFrame, size: int, keep: int | None) -> DataFrame:
                         list_array(
                             np.concatenate([parity(s) for s in sets]), np.full(len(sets), _WORDS), pa.int64()
                         ),
-                        _lists([s[:keep] for s in sets]),
+                        _lists([s[:keep] for s in sets]), *batch.columns[2:],
                     ],
-                    names=["doc_id", "n", "key", "bits", "vals"],
+                    names=["doc_id", "n", "key", "bits", "vals", *["mark"] * marked],
                 )
 
-    return map_arrow(docs, run, "doc_id long, n long, key binary, bits array<bigint>, vals array<bigint>")
+    return map_arrow(
+        docs, run, "doc_id long, n long, key binary, bits array<bigint>, vals array<bigint>" + ", mark binary" * marked
+    )
 
 
 def _arrays(column: pa.ListArray) -> list[np.ndarray]:
@@ -326,6 +331,24 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, keep: int, size: int, p
     return _by_sets(staged(sets.join(open_, "cls", "left_semi"), "open"), comps, percent)
 
 
+def _grouped(docs: DataFrame, percent: int, size: int, keep: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and (key, doc, comp): the classes of equal sets, their least id and
+    their component."""
+    rows = staged(sketches(docs, size, keep), "sketches")
+    classes = staged(
+        rows.filter(F.col("key").isNotNull()).groupBy("key")
+        .agg(
+            F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+            F.first("vals").alias("vals"),
+        )
+        .withColumn("cls", F.monotonically_increasing_id()),
+        "classes",
+    )
+    comps = _linked_classes(docs.select("doc_id", "text"), classes, keep, size, percent)
+    comp = F.coalesce("comp", "cls")
+    return rows, classes.select("cls", "key", "doc").join(comps, "cls", "left").withColumn("comp", comp)
+
+
 def near_duplicates(
     df: DataFrame, percent: int = 80, size: int = 5, keep: int = SKETCH, doc_id: str = "doc_id",
     text: str = "text",
@@ -339,19 +362,7 @@ def near_duplicates(
     takes part and gets its group's least id, or null. Other columns are not read.
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = staged(sketches(docs, size, keep), "sketches")
-    classes = staged(
-        rows.filter(F.col("key").isNotNull()).groupBy("key")
-        .agg(
-            F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("bits").alias("bits"),
-            F.first("vals").alias("vals"),
-        )
-        .withColumn("cls", F.monotonically_increasing_id()),
-        "classes",
-    )
-    comps = _linked_classes(docs, classes, keep, size, percent)
-    comp = F.coalesce("comp", "cls")
-    named = classes.select("cls", "key", "doc").join(comps, "cls", "left").withColumn("comp", comp)
+    rows, named = _grouped(docs, percent, size, keep)
     least = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
     by_key = named.join(least, "comp").select("key", "component_id")
     return (
@@ -368,7 +379,31 @@ def near_duplicates(
 
 
 def distinct_documents(df: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `df` without those whose id has a near-duplicate with a smaller one."""
-    judged = near_duplicates(df, percent, doc_id=doc_id, text=text)
-    gone = measured(judged.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return df.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    """One row of each group of near-duplicates in `df`: that with the least id, null ids last.
+
+    Rows are judged one by one, by id and text: those that share an id, or have none, leave only
+    with their own group. Of rows equal in both one stays. Null or wordless texts all stay.
+    """
+    number, mark = F.col(doc_id).cast("long"), F.unhex(F.md5(F.col(text)))
+    docs = df.select(number.alias("doc_id"), F.col(text).alias("text"), mark.alias("mark"))
+    rows, named = _grouped(docs, percent, 5, SKETCH)
+    rows = rows.filter(F.col("key").isNotNull()).select(
+        "key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark").alias("row")
+    )
+    named = named.join(rows.groupBy("key").agg(F.min("row").alias("own")), "key").select("key", "comp", "own")
+    best = named.groupBy("comp").agg(F.min("own").alias("best"))
+    judged = rows.join(named.join(best, "comp").select("key", "best"), "key").groupBy("row").agg(
+        F.count("*").alias("n"), F.first(F.col("row") == F.col("best")).alias("stays")
+    )
+    marks = measured(
+        judged.filter("not stays or n > 1").select(
+            F.col("row.doc_id").alias("__id"), F.col("row.mark").alias("__mark"), F.col("stays").alias("__stays")
+        ),
+        "marks", MOST_MARKS,
+    )
+    same = number.eqNullSafe(F.col("__id")) & (mark == F.col("__mark"))
+    left = df.join(marks, same, "left_anti")
+    if marks.filter("__stays").isEmpty():
+        return left
+    copies = df.join(marks.filter("__stays"), same).dropDuplicates(["__id", "__mark"])
+    return left.unionByName(copies.select([F.col(f"`{c}`") for c in df.columns]))

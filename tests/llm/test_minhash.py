@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.llm.minhash import near_duplicates, parity, shared_at_least
+from tallymark.llm.minhash import distinct_documents, near_duplicates, parity, shared_at_least
 from tallymark.llm.q_dedup import op9
 
 
@@ -111,6 +111,25 @@ def test_odd_rows(spark):
     assert near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Rows that share an id, or have none, leave only with their own group."""
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [
+        (1, text, "a"), (None, text + " x", "b"), (None, "clean text of some words without an id", "c"),
+        (2, text + " y", "d"), (2, "another text under the id of a copy", "e"), (3, "three copies of a row", "f"),
+        (3, "three copies of a row", "g"), (3, "three copies of a row", "h"), (None, "copies without an id", "i"),
+        (None, "copies without an id", "j"), (None, "Copies  without an ID", "k"), (None, None, "l"), (None, " ", "m"),
+        (4, None, "n"), (4, None, "o"), (5, "no copy of this", "p"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(4)
+    out = distinct_documents(df)
+    assert out.columns == df.columns
+    got = [r.key for r in out.collect()]
+    assert len(got) == len(set(got))
+    assert set(got) - set("fghijk") == set("acelmnop")
+    assert len(set(got) & set("fgh")) == len(set(got) & set("ijk")) == 1
+
+
 def test_other_columns_are_left_alone(spark):
     df = spark.createDataFrame([(1, "a b", 3, "x"), (2, "a b", 4, "y")], "id int, body string, n int, key string")
     out = near_duplicates(df.withColumn("comp", F.lit(1)), doc_id="id", text="body").collect()
