@@ -12,6 +12,9 @@ passage of 50 words keeps its own boundaries but for some words at either end, s
 The first pass reduces (digest, document) to the least and the greatest document of each digest,
 combined before the shuffle. The second pass computes the chunks again and meets the digests that
 repeat, which lie where the first pass left them.
+
+A document is an id; where rows with different texts share an id, or have none, it is an id with a
+digest of the text, so that places belong to the text they were found in.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,8 +63,30 @@ def runs(words: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, bounds[np.searchsorted(bounds, starts + least)], text
 
 
+def _number(doc_id: str) -> Column:
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
+
+
+def _mark(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+
+
+def _shared(df: DataFrame, doc_id: str, text: str) -> bool:
+    """Whether rows with different texts share an id or have none."""
+    marks = df.select(_number(doc_id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"))
+    ends = marks.groupBy("id").agg(F.min("mark").alias("low"), F.max("mark").alias("high"))
+    return not ends.filter("low < high").isEmpty()
+
+
+def _key(shared: bool, doc_id: str, text: str) -> Column:
+    """What tells documents apart, in order of their ids."""
+    number = _number(doc_id)
+    return F.struct(number.alias("id"), _mark(text).alias("mark")) if shared else number
+
+
 def _occurrences(docs: DataFrame, least: int, places: bool) -> DataFrame:
     """(digest, doc) of every run, with its words (start, stop) if `places`."""
+    kind = docs.schema[0].dataType.simpleString()
     names = ["digest", "doc", *(["start", "stop"] if places else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,22 +104,12 @@ def _occurrences(docs: DataFrame, least: int, places: bool) -> DataFrame:
                     ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return map_arrow(docs, run, "digest long, doc long" + ", start int, stop int" * places)
-
+    return map_arrow(docs, run, f"digest long, doc {kind}" + ", start int, stop int" * places)
 
-def repeats(
-    df: DataFrame, least: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """Repeated passages: doc_id, start_word, n_words, first_doc_id, kept; a row per place.
 
-    Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased, counted from 0. A passage repeats if it
-    occurs in documents with different ids; repeats within one document do not count, nor do rows
-    that repeat an id with its text. `kept`: the place is in the passage's first document, the one
-    with the least id. Overlapping runs of a document are one place; first_doc_id is the least of
-    theirs. Null, empty and short texts have no place. A null doc_id counts as one document, the
-    least. Other columns are not read.
-    """
-    docs = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)), F.col(text))
+def _places(df: DataFrame, least: int, doc_id: str, text: str, shared: bool) -> DataFrame:
+    """The rows of `repeats`, with the keys of the documents: doc, start_word, n_words, first_doc, kept."""
+    docs = df.select(_key(shared, doc_id, text).alias("doc"), F.col(text))
     first = _occurrences(docs, least, False).groupBy("digest").agg(
         F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")
     )
@@ -113,13 +128,32 @@ def repeats(
             F.min("first_doc").alias("first_doc"),
         )
         .select(
-            F.nullif("doc", F.lit(_NO_ID)).alias("doc_id"), F.col("start").alias("start_word"),
-            (F.col("stop") - F.col("start")).alias("n_words"),
-            F.nullif("first_doc", F.lit(_NO_ID)).alias("first_doc_id"), "kept",
+            "doc", F.col("start").alias("start_word"), (F.col("stop") - F.col("start")).alias("n_words"),
+            "first_doc", "kept",
         )
     )
 
 
+def repeats(
+    df: DataFrame, least: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Repeated passages: doc_id, start_word, n_words, first_doc_id, kept; a row per place.
+
+    Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased, counted from 0. A passage repeats if it
+    occurs in documents with different ids or different texts; repeats within one document do not
+    count, nor do rows that repeat an id with its text. `kept`: the place is in the passage's first
+    document, the one with the least id and, among rows that share it, the least digest of the text.
+    Overlapping runs of a document are one place; first_doc_id is the least of theirs. Null, empty
+    and short texts have no place. A null doc_id is the least. Other columns are not read.
+    """
+    places = _places(df, least, doc_id, text, _shared(df, doc_id, text))
+    number = ("doc.id", "first_doc.id") if isinstance(places.schema["doc"].dataType, T.StructType) else ("doc", "first_doc")
+    return places.select(
+        F.nullif(F.col(number[0]), F.lit(_NO_ID)).alias("doc_id"), "start_word", "n_words",
+        F.nullif(F.col(number[1]), F.lit(_NO_ID)).alias("first_doc_id"), "kept",
+    )
+
+
 def _cut(text: str, spans: list[dict]) -> str:
     """The text without the words of the spans and the blanks behind them."""
     words = Words(pa.array([text], pa.string()))
@@ -140,12 +174,17 @@ def remove_repeats(
     Columns and their order stay; `n_chars` names a column to set to the new length where a text
     was cut. A document that is nothing but a repeat keeps its row with what is left.
     """
-    spans = repeats(df, least, doc_id, text).filter("not kept")
-    cuts = spans.groupBy(F.col("doc_id").alias("__doc")).agg(
+    shared = _shared(df, doc_id, text)
+    spans = _places(df, least, doc_id, text, shared).filter("not kept")
+    cuts = spans.groupBy(F.col("doc").alias("__doc")).agg(
         F.collect_list(F.struct("start_word", "n_words")).alias("__spans")
     )
+    same = _number(doc_id) == F.col("__doc")
+    if shared:
+        cuts = cuts.select(F.col("__doc.id").alias("__doc"), F.col("__doc.mark").alias("__mark"), "__spans")
+        same &= _mark(text) == F.col("__mark")
     cuts = measured(cuts, "cuts", MOST_CUTS)
-    joined = df.join(cuts, F.col(doc_id).cast("long").eqNullSafe(F.col("__doc")), "left").drop("__doc")
+    joined = df.join(cuts, same, "left").drop("__doc", "__mark")
     schema = T.StructType(df.schema.fields)
     column = df.columns.index(text)
     count = df.columns.index(n_chars) if n_chars else None

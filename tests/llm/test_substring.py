@@ -121,6 +121,26 @@ def test_odd_rows(spark):
     assert repeats(once).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none(spark):
+    """Spans meet only the text they were found in, and such rows repeat each other's passages."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(80)) for x in "abc")
+    rows = [
+        (1, a, "a"), (2, "new start " + a, "b"), (2, "short other text", "c"), (2, None, "d"),
+        (2, " ".join(f"z{k}" for k in range(120)), "e"), (None, "one " + b, "f"), (None, "two " + b + " end", "g"),
+        (3, c + " x", "h"), (3, c + " y", "i"), (None, "two " + b + " end", "j"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(4)
+    left = {r.key: r.text for r in remove_repeats(df).collect()}
+    texts = {k: t for _, t, k in rows}
+    assert {k for k in "acde" if left[k] == texts[k]} == set("acde")
+    assert left["b"].startswith("new start ") and len(words_of(left["b"])) < 25
+    for one, other in ("fg", "hi"):
+        cut = [k for k in (one, other) if left[k] != texts[k]]
+        assert len(cut) == 1 and len(words_of(left[cut[0]])) < 25
+    assert left["j"] == left["g"]
+    assert {p.doc_id for p in repeats(df).collect()} == {1, 2, 3, None}
+
+
 def test_query(spark, folder):
     docs = {r.doc_id: words_of(r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     holders = {}
