@@ -22,8 +22,8 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def importable(spark: SparkSession) -> None:
@@ -90,16 +90,16 @@ def buffers_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of texts, A-Z lower-cased.
+    """Words `[^\\x20\\x09-\\x0D]+` of texts, A-Z lower-cased unless `lower` is false.
 
-    `hashes`, `starts`, `ends` (bytes in `raw`) have one entry per word; the words of text i are
-    first[i]:first[i + 1].
+    `blank` is another table of the 256 bytes that separate words. `hashes`, `starts`, `ends`
+    (bytes in `raw`) have one entry per word; the words of text i are first[i]:first[i + 1].
     """
 
-    def __init__(self, texts: pa.StringArray):
+    def __init__(self, texts: pa.StringArray, lower: bool = True, blank: np.ndarray = BLANK):
         self.raw, self.offsets = buffers_of(texts)
         solid = np.zeros(len(self.raw) + 2, bool)
-        solid[1:-1] = ~_BLANK[self.raw]
+        solid[1:-1] = ~blank[self.raw]
         edge = solid[1:] & ~solid[:-1]
         inner = self.offsets[self.offsets < len(self.raw)]
         edge[inner] = solid[1:-1][inner]
@@ -107,7 +107,7 @@ class Words:
         stop = solid[:-1] & ~solid[1:]
         stop[inner] |= solid[:-1][inner]
         self.ends = np.flatnonzero(stop)
-        self.hashes = range_hashes(_LOWER[self.raw], self.starts, self.ends)
+        self.hashes = range_hashes(_LOWER[self.raw] if lower else self.raw, self.starts, self.ends)
         self.first = np.searchsorted(self.starts, self.offsets)
         self.first[-1] = len(self.starts)
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontamination, language_id, toxicity, url_filter
-from tallymark.llm.url_filter import Rule
+from tallymark.llm import decontamination, language_id, quality_rules, toxicity, url_filter
 from tallymark.llm.registry import query, table
+from tallymark.llm.url_filter import Rule
+from tallymark.staging import stage
 
 RULES = [
     Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"),
@@ -65,3 +66,14 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = docs.withColumn("held_out", language_id.held_out())
     model = language_id.fit(docs.filter(~F.col("held_out")))
     return language_id.predict(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op11_quality_rules")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    measured = stage(quality_rules.measure(docs), "measured")
+    rules = quality_rules.fit(measured, table(spark, folder, "labels"))
+    return quality_rules.judge(measured, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule",
+    )
