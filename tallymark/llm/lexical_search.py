@@ -215,7 +215,8 @@ class _Block:
         while done < len(bound) and bound[done] >= best.least:
             begin = ends[done - 1] if done else 0
             reach = len(bound) - int(np.searchsorted(bound[::-1], best.least))  # groups that may matter
-            done = min(max(int(np.searchsorted(ends, begin + size)) + 1, done + 1), max(reach, done + 1))
+            filled = int(np.searchsorted(ends, begin + size, side="right"))
+            done = max(done + 1, min(filled, reach))
             some = np.sort(rows[begin : ends[done - 1]])
             score = np.zeros(len(some), np.int64)
             for w, span in zip(weights, spans):
