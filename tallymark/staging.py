@@ -41,21 +41,49 @@ def kept_until_done(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for path in _open.pop():
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(conf).delete(folder, True)
+            _delete(spark, path)
+
+
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of each query inside when it ends; the setting is put back."""
+    before = spark.conf.get(_FREED, "false")
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED, before)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet and read it back.
 
     Readers of the result do not repeat the joins behind it, and a lost executor costs only the
-    tasks it was running, not the whole lineage.
+    tasks it was running, not the whole lineage. The shuffles behind it go once it is written.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with _shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._staged_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables whose readers have all run; others are left alone."""
+    for table in tables:
+        path = table.__dict__.get("_staged_at")
+        if path:
+            _delete(table.sparkSession, path)
 
 
 # Rows of a narrow table that are copied to every executor; a larger one is joined by shuffle.
