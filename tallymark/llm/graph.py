@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.staging import stage
+from tallymark.staging import discard, stage
 
 BROADCAST_ROWS = 4_000_000
 
@@ -56,4 +56,5 @@ def components(edges: DataFrame) -> DataFrame:
             return current.select(F.col("u").alias("vertex"), F.col("v").alias("component")).union(
                 current.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct()
             )
-        current = staged(_small_star(_large_star(current)).distinct(), "edges")
+        older, current = current, staged(_small_star(_large_star(current)).distinct(), "edges")
+        discard(older)

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from tallymark.llm.batches import Words, list_array, map_arrow, sliced, text_array
 from tallymark.llm.graph import components, measured, staged
 from tallymark.llm.hashing import mix, shingle_hashes
+from tallymark.staging import discard
 
 SKETCH = 48
 MISSES = 1e-9
@@ -161,12 +162,12 @@ def _confirm(percent: int):
 
 
 def _in_order(sets: DataFrame) -> DataFrame:
-    """cls, n, order (frequency and value of those that several classes have, rare first), weight."""
-    values = sets.select("cls", "n", F.explode("vals").alias("value"))
+    """cls, order (frequency and value of those that several classes have, rare first), weight, n, bits."""
+    values = sets.select("cls", F.explode("vals").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("df")).filter("df >= 2")
-    return values.join(shared, "value").groupBy("cls", "n").agg(
+    return values.join(shared, "value").groupBy("cls").agg(
         F.sort_array(F.collect_list(F.struct("df", "value"))).alias("order"), F.avg("df").alias("weight")
-    ).join(sets.select("cls", "bits"), "cls")
+    ).join(sets.select("cls", "n", "bits"), "cls")
 
 
 def _sketch_lists(classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -254,13 +255,15 @@ def _pairs(members: DataFrame, leaders: DataFrame, keys: list[str], fits: Column
 def _merge(comps: DataFrame, links: DataFrame) -> DataFrame:
     merged = components(links.select(F.col("ca").alias("u"), F.col("cb").alias("v")))
     merged = merged.select(F.col("vertex").alias("comp"), F.col("component").alias("new"))
-    return staged(
+    out = staged(
         comps.join(merged, "comp", "left").select("cls", F.coalesce("new", "comp").alias("comp")), "comps"
     )
+    discard(comps, links)
+    return out
 
 
 def _by_sketches(classes: DataFrame, sets: DataFrame, lists: DataFrame, keep: int, percent: int) -> DataFrame:
-    """(cls, comp) after the leader of each list has met its members."""
+    """(cls, comp) after the leader of each list has met its members. `lists` stay."""
     first = F.min(F.struct(-F.col("weight"), "cls", "n", "bits")).alias("lead")
     leaders = lists.groupBy("value").agg(first).select(
         "value", F.col("lead.cls").alias("a"), F.col("lead.cls").alias("ca"), F.col("lead.n").alias("na"),
@@ -272,7 +275,8 @@ def _by_sketches(classes: DataFrame, sets: DataFrame, lists: DataFrame, keep: in
     )
     pairs = _pairs(members, leaders, ["value"], _may_fit(percent))
     maybe = staged(_pairs_by(_with_values(pairs, classes), _estimate(keep, percent)), "pairs")
-    links = _pairs_by(_with_values(maybe, sets), _confirm(percent))
+    links = staged(_pairs_by(_with_values(maybe, sets), _confirm(percent)), "links")
+    discard(maybe)
     comps = staged(lists.select("cls").distinct().withColumn("comp", F.col("cls")), "comps")
     return _merge(comps, links)
 
@@ -281,9 +285,11 @@ def _by_sets(sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """(cls, comp) after all pairs of `sets` that may link have been tried."""
     keys = ["value", "band"]
     lists, slots = staged(_set_lists(sets, percent), "lists"), 32
+    used = [lists]
     left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     while True:
         lists = staged(_mixed(lists.drop("comp"), comps, keys), "lists")
+        discard(*used)
         if lists.isEmpty():
             return comps
         slot = F.pmod(F.xxhash64("cls", F.lit(slots)), F.lit(slots)).alias("slot")
@@ -302,12 +308,15 @@ def _by_sets(sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
         )
         pairs = _pairs(visitors, leaders, keys, _may_fit(percent) & (left + 1 >= _overlap(percent)))
         links = staged(_pairs_by(_with_values(pairs, sets), _confirm(percent)), "links")
+        used = [lists, leaders]
         met = leaders.select(*keys, F.col("a").alias("cls"), F.lit(True).alias("resident"))
         lists = lists.join(met, [*keys, "cls", "resident"], "left_anti")
         # a list without residents is done
         lists = lists.join(lists.filter("resident").select(keys).distinct(), keys, "left_semi")
         if not links.isEmpty():
             comps = _merge(comps, links)
+        else:
+            discard(links)
         slots *= 32
 
 
@@ -328,12 +337,16 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, keep: int, size: int, p
     )
     comps = _by_sketches(members.select("cls", "n", "vals"), sets, lists, keep, percent)
     open_ = _mixed(lists, comps, ["value"]).select("cls").distinct()
-    return _by_sets(staged(sets.join(open_, "cls", "left_semi"), "open"), comps, percent)
+    left = staged(sets.join(open_, "cls", "left_semi"), "open")
+    discard(lists, members, sets)
+    comps = _by_sets(left, comps, percent)
+    discard(left)
+    return comps
 
 
 def _grouped(docs: DataFrame, percent: int, size: int, keep: int) -> tuple[DataFrame, DataFrame]:
-    """The sketches of all rows, and (key, doc, comp): the classes of equal sets, their least id and
-    their component."""
+    """The set sizes and digests of all rows, and (key, doc, comp): the classes of equal sets, their
+    least id and their component."""
     rows = staged(sketches(docs, size, keep), "sketches")
     classes = staged(
         rows.filter(F.col("key").isNotNull()).groupBy("key")
@@ -344,9 +357,12 @@ def _grouped(docs: DataFrame, percent: int, size: int, keep: int) -> tuple[DataF
         .withColumn("cls", F.monotonically_increasing_id()),
         "classes",
     )
+    keys, names = staged(rows.drop("vals", "bits"), "keys"), staged(classes.select("cls", "key", "doc"), "names")
+    discard(rows)
     comps = _linked_classes(docs.select("doc_id", "text"), classes, keep, size, percent)
+    discard(classes)
     comp = F.coalesce("comp", "cls")
-    return rows, classes.select("cls", "key", "doc").join(comps, "cls", "left").withColumn("comp", comp)
+    return keys, names.join(comps, "cls", "left").withColumn("comp", comp)
 
 
 def near_duplicates(
