@@ -115,7 +115,8 @@ class PreTokens:
 class WordTable:
     """Token ids of pre-tokens seen so far, found by hash; only new ones are encoded.
 
-    It forgets everything when it holds more than `most` words, so its memory is bounded.
+    When it holds more than `most` words it keeps the third of them that was met most often, so
+    its memory is bounded and common words stay.
     """
 
     def __init__(self, encode_words, most: int = 250_000):
@@ -128,17 +129,31 @@ class WordTable:
         self._used = 0
         self._starts = np.zeros(1 << 14, np.int64)
         self._lengths = np.zeros(1 << 14, np.int64)
+        self._keys = np.zeros(1 << 14, np.uint64)
+        self._met = np.zeros(1 << 14, np.int64)
+
+    def _forget(self) -> None:
+        size = self._index.size
+        room = min(self._most // 3, size)
+        kept = np.argpartition(-self._met[:size], room - 1)[:room] if room else np.zeros(0, np.int64)
+        if self._lengths[kept].sum() > 4 * self._most:  # a few endless words fill the table
+            kept = kept[self._lengths[kept] <= 8]
+        keys, met, flat, lengths = self._keys[kept], self._met[kept] // 2, self.ids(kept), self._lengths[kept]
+        self._clear()
+        self._learn(keys, (flat, lengths))
+        self._met[: len(met)] = met
 
     def rows(self, pre: PreTokens) -> np.ndarray:
         """Row of each pre-token in the table."""
         if self._index.size > self._most or self._used > 8 * self._most:
-            self._clear()
+            self._forget()
         rows = self._index.find(pre.hashes)
         missing = np.flatnonzero(rows < 0)
         if len(missing):
             keys, first = np.unique(pre.hashes[missing], return_index=True)
             self._learn(keys, self._encode(pre.words(missing[first])))
             rows[missing] = self._index.find(pre.hashes[missing])
+        self._met[: self._index.size] += np.bincount(rows, minlength=self._index.size)
         return rows
 
     def _learn(self, keys: np.ndarray, encoded: tuple[np.ndarray, np.ndarray]) -> None:
@@ -148,10 +163,13 @@ class WordTable:
             grow = max(len(self._starts), len(keys))
             self._starts = np.append(self._starts, np.zeros(grow, np.int64))
             self._lengths = np.append(self._lengths, np.zeros(grow, np.int64))
+            self._keys = np.append(self._keys, np.zeros(grow, np.uint64))
+            self._met = np.append(self._met, np.zeros(grow, np.int64))
         if used + len(flat) > len(self._flat):
             self._flat = np.append(self._flat, np.zeros(max(len(self._flat), len(flat)), np.int32))
         self._starts[size : size + len(keys)] = used + np.cumsum(lengths) - lengths
         self._lengths[size : size + len(keys)] = lengths
+        self._keys[size : size + len(keys)] = keys
         self._flat[used : used + len(flat)] = flat
         self._used += len(flat)
         self._index.add(keys)

@@ -33,6 +33,8 @@ from tallymark.llm.library import worker_library
 
 BLOCK = 4096
 SEGMENT_IDS = 1 << 18
+SLICE_BYTES = 1 << 20
+TABLE_WORDS = 1_000_000
 _MAGIC, _HEADER = b"TKB1", "<4sBIQ"
 _START = struct.calcsize(_HEADER)
 
@@ -165,10 +167,10 @@ def write(
     data = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = worker_library(data.value)
+        library = worker_library(data.value, TABLE_WORDS)
         part = _Part(bits_for(max(library.size, end_id + 1)), segment_ids)
         for whole in batches:
-            for batch in sliced(whole, 1):
+            for batch in sliced(whole, 1, SLICE_BYTES):
                 texts = text_array(batch.column(1)).to_pylist()
                 flat, lengths = library.table.encode(texts, library.specials)
                 ends = np.cumsum(lengths)
