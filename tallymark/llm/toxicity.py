@@ -1,14 +1,14 @@
 """Toxicity categories by a classifier chain of linear models.
 
 Categories are predicted one after the other. A category's model is a logistic regression on the
-words of a text (presence, hashed into 2**BITS buckets) and on the probabilities of the categories
-before it. While training, those probabilities come from models of the other folds, so a later
+words of a text (presence, hashed into 2**BITS buckets; words in fewer than `least_texts` texts of
+the sample are no features) and on the probabilities of the categories before it. While training, those probabilities come from models of the other folds, so a later
 model sees earlier categories with the errors they have on new texts; for prediction each category
 has one model of all training rows.
 
-Training takes a bounded sample: `sample` labelled rows in the mean, drawn by a hash of their ids,
-whole texts. Their word buckets meet in one task that fits all models; only the weights, at most
-2**BITS a category, pass through the driver.
+Training takes a bounded sample: at most `sample` labelled documents, drawn by a hash of their ids,
+whole texts; of documents with the same words and labels one counts. Their word buckets meet in one
+task that fits all models; only the weights, at most 2**BITS a category, pass through the driver.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ SAMPLE = 20_000
 FOLDS = 3
 PENALTY = 1e-4
 LEAST_TEXTS = 5
+NEVER = 35.0  # as a log odds
 
 
 def word_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -42,7 +43,7 @@ def word_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+    return 1 / (1 + np.exp(-np.clip(z, -NEVER, NEVER)))
 
 
 class _Rows:
@@ -70,7 +71,7 @@ def fit_logistic(x: _Rows, y: np.ndarray, rows: np.ndarray, rounds: int = 40) ->
     w = np.zeros(x.words + x.dense.shape[1] + 1)
     share = float(y[rows].mean()) if rows.any() else 0.0
     if not 0 < share < 1:
-        w[-1] = 35.0 if share == 1 else -35.0
+        w[-1] = NEVER if share == 1 else -NEVER
         return w
     w[-1] = np.log(share / (1 - share))
     yes, no = (np.bincount(x.word, (rows & (y == v))[x.row].astype(float), x.words) + 1 for v in (1, 0))
@@ -130,11 +131,11 @@ class Chain:
 
 
 def train_chain(
-    row: np.ndarray, bucket: np.ndarray, labels: np.ndarray, fold: np.ndarray
+    row: np.ndarray, bucket: np.ndarray, labels: np.ndarray, fold: np.ndarray, least_texts: int = LEAST_TEXTS
 ) -> list[np.ndarray]:
     """Weights for each column of `labels` (0, 1, or nan: no label), chained in their order."""
     n = len(labels)
-    common = np.flatnonzero(np.bincount(bucket, minlength=1 << BITS) >= LEAST_TEXTS)
+    common = np.flatnonzero(np.bincount(bucket, minlength=1 << BITS) >= least_texts)
     number = np.full(1 << BITS, -1)
     number[common] = np.arange(len(common))
     word = number[bucket]
@@ -156,21 +157,27 @@ def train_chain(
     return weights
 
 
+def _chosen(labels: DataFrame, categories: list[str], sample: int, doc_id: str) -> DataFrame:
+    """(doc, y0, y1, ...) of at most `sample` ids."""
+    draw = F.pmod(F.xxhash64(F.col("doc"), F.lit("toxicity")), F.lit(1 << 30))
+    named = labels.select(
+        F.col(doc_id).cast("long").alias("doc"), *(F.col(c).cast("double").alias(f"y{k}") for k, c in enumerate(categories))
+    ).filter("doc is not null").groupBy("doc").agg(*(F.max(f"y{k}").alias(f"y{k}") for k in range(len(categories))))
+    rate = min(1.0, sample / max(1, named.count()))
+    return named.filter(draw <= int(rate * (1 << 30))).orderBy(draw, "doc").limit(sample)
+
+
 def fit(
     df: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE,
-    folds: int = FOLDS, text: str = "text", doc_id: str = "doc_id",
+    folds: int = FOLDS, least_texts: int = LEAST_TEXTS, text: str = "text", doc_id: str = "doc_id",
 ) -> Chain:
     """The chain of `categories` (columns of `labels`: 0, 1 or null), trained on texts of `df`.
 
-    A null text counts as empty, a repeated label row counts again. A category without labels, or
-    with one value only, gets the probability of that value (0 without labels) for every text.
+    A null text counts as empty; an id with several labels has the largest of each category, and
+    null ids have none. A category without labels, or with one value only, gets the probability of
+    that value (0 without labels) for every text.
     """
-    draw = F.pmod(F.xxhash64(F.col("doc"), F.lit("toxicity")), F.lit(1 << 30))
-    named = labels.select(
-        F.col(doc_id).cast("long").alias("doc"), *(F.col(c).cast("double").alias(f"y{k}") for k, c in enumerate(categories))
-    )
-    rate = min(1.0, sample / max(1, named.count()))
-    chosen = named.filter(draw < int(rate * (1 << 30)))
+    chosen = _chosen(labels, categories, sample, doc_id)
     docs = df.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     rows = docs.join(F.broadcast(chosen), "doc").select(
         "text", F.pmod(F.xxhash64("doc", F.lit("fold")), F.lit(folds)).cast("int").alias("fold"),
@@ -198,6 +205,7 @@ def fit(
             np.concatenate([*buckets, np.zeros(0, np.int32)]).astype(np.int64),
             np.concatenate([*y, np.zeros((0, len(categories)))]),
             np.concatenate([*fold, np.zeros(0, np.int32)]),
+            least_texts,
         )
         for k, w in enumerate(weights):
             at = np.flatnonzero(w)
@@ -207,8 +215,10 @@ def fit(
             )
 
     gathered = staged(map_arrow(rows, words, "buckets array<int>, fold int, y array<double>"), "words")
+    mark = F.xxhash64("buckets", "y")
+    rows = gathered.groupBy("buckets", "y").agg(F.min("fold").alias("fold")).select("buckets", "fold", "y")
     found = map_arrow(
-        gathered.orderBy("fold", F.xxhash64("buckets")).coalesce(1), train,
+        rows.orderBy(mark, "buckets", "y").limit(sample).coalesce(1), train,
         "category int, place long, weight double",
     ).toPandas()
     weights = []
@@ -216,6 +226,8 @@ def fit(
         w = np.zeros((1 << BITS) + k + 1)
         own = found[found.category == k]
         w[own.place.to_numpy()] = own.weight.to_numpy()
+        if not len(own):  # no rows at all
+            w[-1] = -NEVER
         weights.append(w)
     return Chain(list(categories), weights)
 

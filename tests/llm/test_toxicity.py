@@ -44,13 +44,13 @@ def test_later_models_see_out_of_fold_probabilities(monkeypatch):
     row, bucket = np.repeat(np.arange(90), 5), pick.integers(0, 40, 450)
     labels = pick.integers(0, 2, (90, 2)).astype(float)
     fold = np.arange(90) % 3
-    toxicity.train_chain(row, bucket, labels, fold)
+    toxicity.train_chain(row, bucket, labels, fold, least_texts=1)
     assert [d.shape[1] for d, _ in seen] == [0, 0, 0, 0, 1]
     for f in range(3):
         assert (seen[1 + f][1] == (fold != f)).all()
         x = toxicity._Rows(row, bucket, 90, 40, np.zeros((90, 0)))
         w = real(x, labels[:, 0], fold != f)
-        assert np.allclose(seen[4][0][fold == f, 0], toxicity._sigmoid(x.times(w))[fold == f], atol=0.1)
+        assert np.allclose(seen[4][0][fold == f, 0], toxicity._sigmoid(x.times(w))[fold == f], atol=1e-9)
 
 
 def test_odd_rows(spark):
@@ -78,3 +78,83 @@ def test_query_finds_toxic_documents(spark, folder):
     assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
     known = [r for r in rows if r.doc_id in truth]
     assert sum(r.toxic for r in known if not truth[r.doc_id]) <= 0.02 * len(known)
+
+
+def plain_logistic(x, y, rows):
+    """The minimum that `fit_logistic` looks for, by Newton's method on dense columns; the last is 1."""
+    words = x.words
+    dense = np.zeros((x.n, words))
+    dense[x.row, x.word] = 1
+    whole = np.column_stack([dense, x.dense, np.ones(x.n)])
+    yes, no = (dense[rows & (y == v)].sum(0) + 1 for v in (1, 0))
+    scale = np.ones(whole.shape[1])
+    scale[:words] = np.log((yes / yes.sum()) / (no / no.sum()))
+    part, label = (whole * scale)[rows], y[rows]
+    penalty = np.full(whole.shape[1], toxicity.PENALTY)
+    penalty[-1] = 0
+    w = np.zeros(whole.shape[1])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-part @ w))
+        gradient = part.T @ (p - label) / len(label) + penalty * w
+        hessian = (part * (p * (1 - p))[:, None]).T @ part / len(label) + np.diag(penalty + 1e-9)
+        w = w - 0.5 * np.linalg.solve(hessian, gradient)
+    return w * scale
+
+
+def test_chain_equals_a_plain_version():
+    pick = np.random.default_rng(4)
+    n, words = 400, 30
+    present = pick.random((n, words)) < 0.2
+    first = (present[:, 0] | (pick.random(n) < 0.1)).astype(float)
+    second = ((present[:, 1] | (first > 0)) & (pick.random(n) < 0.9)).astype(float)
+    row, bucket = np.nonzero(present)
+    fold = np.arange(n) % 3
+    labels = np.column_stack([first, second])
+    got = toxicity.train_chain(row, bucket, labels, fold, least_texts=1)
+    x = toxicity._Rows(row, bucket, n, words, np.zeros((n, 0)))
+    every = np.ones(n, bool)
+    inputs = np.zeros(n)
+    for f in range(3):
+        w = plain_logistic(x, first, fold != f)
+        inputs[fold == f] = toxicity._sigmoid(x.times(w))[fold == f]
+    chained = toxicity._Rows(row, bucket, n, words, inputs[:, None])
+    want = [plain_logistic(x, first, every), plain_logistic(chained, second, every)]
+    size = 1 << toxicity.BITS
+    dense = np.zeros((n, 0))
+    for k, (g, w) in enumerate(zip(got, want)):
+        own = np.concatenate([g[:words], g[size:]])
+        rows = toxicity._Rows(row, bucket, n, words, dense)
+        p, q = toxicity._sigmoid(rows.times(own)), toxicity._sigmoid(rows.times(w))
+        assert np.abs(p - q).max() < 0.03, k
+        dense = np.column_stack([dense, q])
+
+
+def test_sample_is_bounded_whatever_repeats(spark):
+    df = made(spark, 200)
+    labels = df.select("doc_id", "rude", "toxic")
+    many = labels.union(labels).union(labels.filter("doc_id = 7").crossJoin(spark.range(300)).drop("id"))
+    chosen = toxicity._chosen(many, ["rude", "toxic"], 50, "doc_id")
+    assert chosen.count() <= 50 and chosen.count() == chosen.select("doc").distinct().count()
+    seen = []
+    real = toxicity.train_chain
+    toxicity.train_chain, kept = (lambda *a: seen.append(len(a[2])) or real(*a)), real
+    try:
+        same = df.filter("doc_id = 7").select(F.lit(7).cast("long").alias("doc_id"), "text")
+        weights = fit(df.select("doc_id", "text").union(same).union(same), many, ["rude", "toxic"], sample=50).weights
+    finally:
+        toxicity.train_chain = kept
+    assert len(weights) == 2
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir("/root/testdata/sf0.1"), reason="needs the larger tables")
+def test_recall_outside_the_sample(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    chain = fit(docs, labels, ["quality", "toxic"], sample=2000)
+    chosen = toxicity._chosen(labels, ["quality", "toxic"], 2000, "doc_id")
+    outside = labels.join(chosen, F.col("doc_id") == F.col("doc"), "left_anti")
+    rows = predict(docs.join(outside, "doc_id"), chain).select("toxic", (F.col("p_toxic") >= 0.5).alias("found")).collect()
+    toxic = [r.found for r in rows if r.toxic]
+    assert len(toxic) > 100 and np.mean(toxic) > 0.9
+    assert np.mean([r.found for r in rows if not r.toxic]) < 0.02
