@@ -6,10 +6,11 @@ the longest order at which any of its n-grams is known scores instead: the mean
 of the known ones. A text's scores are the sums over its words; the language with the largest sum
 wins, and its share after normalising is the score.
 
-The model is fit on a bounded sample: documents chosen by a hash of their ids at a rate that gives
-`per_language` documents of each language in the mean, their whole texts. It keeps the `words` most
-frequent words and the `grams` most frequent n-grams of each order for every language, so what is
-broadcast is bounded by the number of languages (at most MOST_LANGUAGES).
+The model is fit on a bounded sample: documents chosen by a hash of id and text at a rate that gives
+`per_language` documents of each language in the mean, their whole texts; rows equal in both count
+once. It knows the `words` most frequent words and the `grams` most frequent n-grams of each order of
+every language, each with its counts in all languages, so what is broadcast is bounded by the number
+of languages (at most MOST_LANGUAGES).
 """
 
 from __future__ import annotations
@@ -76,8 +77,9 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.index = model, model.indexed()
 
-    def _backoff(self, words: LetterWords, rows: np.ndarray) -> np.ndarray:
-        """Scores of unknown words, 0 for every language if not even a letter is known."""
+    def _backoff(self, words: LetterWords, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of unknown words, and whether an n-gram of each is known: if not even a letter is,
+        the scores are 0 for every language."""
         scores = np.zeros((len(rows), len(self.model.languages)))
         left = np.arange(len(rows))
         for order in range(ORDERS, 0, -1):
@@ -92,9 +94,10 @@ class Scorer:
                 total = np.bincount(word[known], logs, minlength=len(left))
                 scores[left[n > 0], k] = total[n > 0] / n[n > 0]
             left = left[n == 0]
-        return scores
+        return scores, ~np.isin(np.arange(len(rows)), left)
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language and score of each text, and whether the model knows any of its words or n-grams."""
         model = self.model
         words = LetterWords(texts)
         sums = np.zeros((len(texts), len(model.languages)))
@@ -103,17 +106,19 @@ class Scorer:
         known = rows >= 0
         unknown = np.flatnonzero(~known)
         _, first, again = np.unique(words.hashes[unknown], return_index=True, return_inverse=True)
-        backoff = self._backoff(words, unknown[first])
+        backoff, some = self._backoff(words, unknown[first])
+        known_texts = np.concatenate([words.text[known], words.text[unknown][some[again]]])
+        evidence = np.bincount(known_texts, minlength=len(texts)) > 0
         for k in range(len(model.languages)):
             sums[:, k] = np.bincount(
                 words.text[known], model.logs[0][rows[known], k], minlength=len(texts)
             ) + np.bincount(words.text[unknown], backoff[again, k], minlength=len(texts))
         if not model.languages:
-            return ["und"] * len(texts), np.zeros(len(texts))
+            return ["und"] * len(texts), np.zeros(len(texts)), evidence
         best = sums.argmax(1)
         shares = np.exp(sums - sums.max(1, keepdims=True))
         score = np.where(lettered, 1 / shares.sum(1), 0.0)
-        return [model.languages[b] if ok else "und" for b, ok in zip(best.tolist(), lettered)], score
+        return [model.languages[b] if ok else "und" for b, ok in zip(best.tolist(), lettered)], score, evidence
 
 
 def _counts(docs: DataFrame) -> DataFrame:
@@ -149,11 +154,14 @@ def fit(
     docs: DataFrame, per_language: int = PER_LANGUAGE, words: int = WORDS, grams: int = GRAMS,
     text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
 ) -> Model:
-    """The model of the labelled rows of `docs` (lang and text not null)."""
+    """The model of the labelled rows of `docs` (lang and text not null).
+
+    Repeated or null ids are drawn by their texts. Without such rows the model knows no language.
+    """
     rows = docs.select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
-        F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("language")), F.lit(1 << 30)).alias("draw"),
-    ).filter("lang is not null and text is not null")
+        F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.lit("language")).alias("mark"),
+    ).filter("lang is not null and text is not null").withColumn("draw", F.pmod("mark", F.lit(1 << 30)))
     totals = rows.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
     if len(totals) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
@@ -166,15 +174,19 @@ def fit(
         for r in totals
         for x in (r["lang"], int(min(1.0, per_language / r["count"]) * (1 << 30)))
     ])
-    sample = rows.filter(F.col("draw") < below[F.col("lang")]).select("lang", "text")
+    sample = rows.filter(F.col("draw") < below[F.col("lang")]).dropDuplicates(["lang", "mark"]).select("lang", "text")
     counts = staged(
         _counts(sample).groupBy("lang", "order", "key").agg(F.sum("n").alias("n")), "language"
     )
     rank = F.row_number().over(Window.partitionBy("lang", "order").orderBy(F.desc("n"), "key"))
     number = F.create_map(*[F.lit(x) for k, name in enumerate(languages) for x in (name, k)])
-    kept = (
+    top = (
         counts.withColumn("rank", rank)
         .filter(F.col("rank") <= F.when(F.col("order") == 0, words).otherwise(grams))
+        .select("order", "key").distinct()
+    )
+    kept = (
+        counts.join(top, ["order", "key"], "left_semi")
         .select(number[F.col("lang")].alias("column"), "order", "key", F.col("n").cast("int")).toPandas()
     )
     sums = counts.groupBy("lang", "order").agg(F.sum("n").alias("total")).collect()
@@ -209,7 +221,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         scorer = Scorer(data.value)
         for whole in batches:
             for batch in sliced(whole, column):
-                names, score = scorer.predict(text_array(batch.column(column)).to_pylist())
+                names, score, _ = scorer.predict(text_array(batch.column(column)).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(names, pa.string()), pa.array(score)],
                     names=schema.names,
@@ -219,7 +231,8 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def recognised(df: DataFrame, model: Model, least: float = 0.0, text: str = "text") -> DataFrame:
-    """The rows of `df` whose text has letters and a language with a score of at least `least`."""
+    """The rows of `df` whose text has letters, some word or n-gram that the model knows, and a
+    language with a score of at least `least`. So texts in a script of which nothing was learned go."""
     data = df.sparkSession.sparkContext.broadcast(model)
     column = df.columns.index(text)
 
@@ -227,8 +240,8 @@ def recognised(df: DataFrame, model: Model, least: float = 0.0, text: str = "tex
         scorer = Scorer(data.value)
         for whole in batches:
             for batch in sliced(whole, column):
-                names, score = scorer.predict(text_array(batch.column(column)).to_pylist())
-                keep = (np.array(names, object) != "und") & (score >= least)
+                names, score, evidence = scorer.predict(text_array(batch.column(column)).to_pylist())
+                keep = (np.array(names, object) != "und") & evidence & (score >= least)
                 yield batch.filter(pa.array(keep.astype(bool)))
 
     return map_arrow(df, run, df.schema)

@@ -59,7 +59,7 @@ def test_backoff_equals_a_plain_version(spark):
         return e.max() / e.sum(), model.languages[int(sums.argmax())]
 
     texts = ["der house", "undista", "größer zzz", "theand x", "xyz", "queso el", "Ñ", "AÑO nichts"]
-    names, score = Scorer(model).predict(texts)
+    names, score, _ = Scorer(model).predict(texts)
     for t, name, s in zip(texts, names, score):
         wanted, lang = plain(t)
         assert lang == name and abs(wanted - s) < 1e-9
@@ -94,3 +94,52 @@ def test_query_is_right_on_held_out_documents(spark, folder):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_null_and_repeated_ids_are_drawn_by_their_texts(spark):
+    pick = random.Random(7)
+    rows = [
+        (None if k % 2 else 5, " ".join(pick.choices(WORDS["aa" if k % 3 else "bb"], k=20)) + f" w{k}", "aa" if k % 3 else "bb")
+        for k in range(400)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(df, per_language=40)
+    got = predict(df, model).collect()
+    assert sum(r.lang_pred == r.lang for r in got) == 400
+    seen = []
+    real = language_id._counts
+    try:
+        language_id._counts = lambda sample: seen.append(sample.count()) or real(sample)
+        fit(df, per_language=40)
+        assert 40 <= seen[-1] <= 130  # 80 in the mean
+        copies = df.limit(1).union(df.limit(1)).union(df)
+        for _ in range(4):
+            copies = copies.union(copies.limit(1))
+        fit(copies, per_language=10_000)
+        assert seen[-1] == 400  # equal rows count once
+    finally:
+        language_id._counts = real
+
+
+def test_known_keys_have_their_counts_in_every_language(spark):
+    rows = [(1, "alpha alpha alpha beta beta gamma", "aa"), (2, "delta delta delta beta gamma gamma", "bb")]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), words=1)
+    words = LetterWords(["alpha", "beta", "delta"]).hashes
+    known = dict(zip(model.keys[0].tolist(), model.logs[0].tolist()))
+    assert sorted(known) == sorted(words[[0, 2]].tolist())
+    assert known[int(words[0])] == pytest.approx([math.log(3 / 6), math.log(0.5 / 6)])
+    model = fit(spark.createDataFrame([*rows, (3, "beta beta beta beta", "bb")], "doc_id long, text string, lang string"), words=1)
+    known = dict(zip(model.keys[0].tolist(), model.logs[0].tolist()))
+    assert known[int(words[1])] == pytest.approx([math.log(2 / 6), math.log(5 / 10)])
+
+
+def test_texts_of_which_nothing_is_known_are_not_recognised(spark):
+    df = docs(spark)
+    model = fit(df)
+    odd = spark.createDataFrame(
+        [(1, "中文 文字", None), (2, "42 !!", None), (3, None, None), (4, "中文 und", None), (5, "größer", None)],
+        df.schema,
+    )
+    assert sorted(r.doc_id for r in language_id.recognised(odd, model).collect()) == [4, 5]
+    assert language_id.recognised(df, model).count() == df.count()
+    assert {r.lang_pred for r in predict(odd.filter("doc_id = 1"), model).collect()} == {"aa"}
