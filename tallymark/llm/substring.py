@@ -10,8 +10,9 @@ passage of 50 words keeps its own boundaries but for some words at either end, s
 = 25 words inside it is found, while stock phrases of fewer than 25 words never count.
 
 The first pass reduces (digest, document) to the least and the greatest document of each digest,
-combined before the shuffle. The second pass computes the chunks again and meets the digests that
-repeat, which lie where the first pass left them.
+combined before the shuffle, and writes those that repeat. The second pass computes the chunks again
+and meets them in a plain join of two shuffles, so that Spark splits the places of a digest that very
+many documents hold. Before, a look at ids and digests of the texts tells whether ids are shared.
 
 A document is an id; where rows with different texts share an id, or have none, it is an id with a
 digest of the text, so that places belong to the text they were found in.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymark.llm.batches import Words, map_arrow, sliced, text_array
-from tallymark.llm.graph import measured
+from tallymark.llm.graph import measured, staged
 from tallymark.llm.hashing import sequence_hashes
 
 LEAST_WORDS = 25
@@ -113,7 +114,7 @@ def _places(df: DataFrame, least: int, doc_id: str, text: str, shared: bool) ->
     first = _occurrences(docs, least, False).groupBy("digest").agg(
         F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")
     )
-    repeated = first.filter("first_doc < last_doc").select("digest", "first_doc")
+    repeated = staged(first.filter("first_doc < last_doc").select("digest", "first_doc"), "repeated")
     places = _occurrences(docs, least, True).join(repeated, "digest").select(
         "doc", "start", "stop", "first_doc", (F.col("doc") == F.col("first_doc")).alias("kept")
     )
