@@ -28,6 +28,7 @@ from tallymark.llm.hashing import ranges_of, sequence_hashes
 TILE = 4
 THRESHOLD = 0.6
 BLOCK_BYTES = 16 << 20
+PAIRS = 1 << 20
 
 
 @dataclass
@@ -66,40 +67,73 @@ def prepare(rows: list[tuple], tile: int) -> Items:
     )
 
 
-def _common_runs(a: np.ndarray, b: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """Maximal runs (-length, start in a, start in b) given all seed pairs, a[i] with b[i]."""
-    diagonal = b - a
-    order = np.lexsort((a, diagonal))
-    a, diagonal = a[order], diagonal[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (diagonal[1:] != diagonal[:-1]) | (a[1:] != a[:-1] + 1)
-    first = np.flatnonzero(new)
-    lengths = np.diff(np.append(first, len(a))) + size - 1
-    return [
-        (-n, i, i + d)
-        for n, i, d in zip(lengths.tolist(), a[first].tolist(), diagonal[first].tolist())
-    ]
+def common_runs(
+    a: np.ndarray, low: np.ndarray, high: np.ndarray, places: np.ndarray, size: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal common runs: start in the item, start in the text, length.
 
-
-def tiles(a: np.ndarray, b: np.ndarray, size: int, m: int, n: int) -> list[tuple[int, int, int]]:
-    """Greedy tiling of texts of m and n words from their seed pairs: (start in each, length).
+    `a`: ascending item places of seeds; that of a[k] lies at places[low[k]:high[k]] of the text.
+    A text that repeats itself has far more pairs of equal seeds than runs, so pairs are made for
+    some item places at a time, PAIRS in the mean, and runs are carried on from one part to the next.
+    """
+    counts, done = high - low, []
+    open_ = [np.zeros(0, np.int64)] * 3  # diagonal, start in the item, seeds; by diagonal
+    ends, k, last = np.cumsum(counts), 0, -2
+    while k < len(a):
+        stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + PAIRS, side="right")))
+        at = np.repeat(a[k:stop], counts[k:stop])
+        diagonal = places[ranges_of(low[k:stop], counts[k:stop])] - at
+        order = np.lexsort((at, diagonal))
+        at, diagonal = at[order], diagonal[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (diagonal[1:] != diagonal[:-1]) | (at[1:] != at[:-1] + 1)
+        first = np.flatnonzero(new)
+        runs = [diagonal[first], at[first], np.diff(np.append(first, len(at)))]
+        if a[k] == last + 1 and len(open_[0]):
+            begins = np.flatnonzero(runs[1] == a[k])
+            found = np.minimum(np.searchsorted(open_[0], runs[0][begins]), len(open_[0]) - 1)
+            same = open_[0][found] == runs[0][begins]
+            begins, found = begins[same], found[same]
+            runs[1][begins] = open_[1][found]
+            runs[2][begins] += open_[2][found]
+            open_ = [np.delete(c, found) for c in open_]
+        done.append(open_)
+        last = a[stop - 1]
+        going = runs[1] + runs[2] - 1 == last
+        done.append([c[~going] for c in runs])
+        open_, k = [c[going] for c in runs], stop
+    diagonal, start, n = (np.concatenate(c) for c in zip(*done, open_))
+    return start, start + diagonal, n + size - 1
+
+
+def tiles(
+    i: np.ndarray, j: np.ndarray, n: np.ndarray, size: int, words_a: int, words_b: int
+) -> list[tuple[int, int, int]]:
+    """Greedy tiling from the maximal common runs: (start in each, length).
 
     Longest first, then by place; a run that meets marked words goes back with its unmarked parts.
     """
-    heap = _common_runs(a, b, size)
-    heapq.heapify(heap)
-    marked_a, marked_b, laid = np.zeros(m, bool), np.zeros(n, bool), []
-    while heap:
-        length, i, j = heapq.heappop(heap)
-        free = ~(marked_a[i : i - length] | marked_b[j : j - length])
+    order = np.lexsort((j, i, -n))
+    i, j, n = i[order], j[order], n[order]
+    heap: list[tuple[int, int, int]] = []
+    marked_a, marked_b, laid, at = np.zeros(words_a, bool), np.zeros(words_b, bool), [], 0
+    left = words_a
+    while left >= size and (heap or at < len(n)):
+        if at < len(n) and (not heap or (-int(n[at]), int(i[at]), int(j[at])) < heap[0]):
+            x, y, length, at = int(i[at]), int(j[at]), int(n[at]), at + 1
+        else:
+            minus, x, y = heapq.heappop(heap)
+            length = -minus
+        free = ~(marked_a[x : x + length] | marked_b[y : y + length])
         if free.all():
-            marked_a[i : i - length] = marked_b[j : j - length] = True
-            laid.append((i, j, -length))
+            marked_a[x : x + length] = marked_b[y : y + length] = True
+            laid.append((x, y, length))
+            left -= length
             continue
         edges = np.flatnonzero(np.diff(np.concatenate(([0], free.view(np.int8), [0]))))
         for low, high in zip(edges[::2].tolist(), edges[1::2].tolist()):
             if high - low >= size:
-                heapq.heappush(heap, (low - high, i + low, j + low))
+                heapq.heappush(heap, (low - high, x + low, y + low))
     return laid
 
 
@@ -130,14 +164,19 @@ def _hits(words: Words, items: Items) -> Iterator[tuple[int, np.ndarray, np.ndar
 def _matches(words: Words, items: Items, tile: int, threshold: float):
     """(text number, item number, coverage, number of tiles)."""
     for text, seeds, places in _hits(words, items):
-        counts = items.starts[seeds + 1] - items.starts[seeds]
-        entry = ranges_of(items.starts[seeds], counts)
-        item, a, b = items.item[entry], items.place[entry], np.repeat(places, counts)
-        order = np.argsort(item, kind="stable")
-        item, a, b = item[order], a[order], b[order]
-        some, first = np.unique(item, return_index=True)
+        order = np.lexsort((places, seeds))
+        seeds, places = seeds[order], places[order]
+        known, first = np.unique(seeds, return_index=True)
+        last = np.append(first[1:], len(seeds))
+        counts = items.starts[known + 1] - items.starts[known]
+        entry = ranges_of(items.starts[known], counts)
+        seed = np.repeat(np.arange(len(known)), counts)
+        order = np.lexsort((items.place[entry], items.item[entry]))
+        entry, seed = entry[order], seed[order]
+        item, a = items.item[entry], items.place[entry]
+        some, begin = np.unique(item, return_index=True)
         n = int(words.first[text + 1] - words.first[text])
-        for k, low, high in zip(some.tolist(), first.tolist(), [*first[1:].tolist(), len(item)]):
+        for k, low, high in zip(some.tolist(), begin.tolist(), [*begin[1:].tolist(), len(item)]):
             m = len(items.words[k])
             size = min(m, tile)
             covered = np.zeros(m + 1, np.int64)
@@ -145,19 +184,30 @@ def _matches(words: Words, items: Items, tile: int, threshold: float):
             np.add.at(covered, a[low:high] + size, -1)
             if np.count_nonzero(np.cumsum(covered)) < threshold * m:
                 continue
-            laid = tiles(a[low:high], b[low:high], size, m, n)
+            own = seed[low:high]
+            laid = tiles(*common_runs(a[low:high], first[own], last[own], places, size), size, m, n)
             coverage = sum(t[2] for t in laid) / m
             if coverage >= threshold:
                 yield text, k, coverage, len(laid)
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, tile: int) -> Iterator[Items]:
+    """Items of BLOCK_BYTES bytes at a time, or one longer item; equal texts need not share a block."""
     rows = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = -(-total // BLOCK_BYTES)
-    for k in range(blocks):
-        part = rows.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
-        yield prepare([(r.item, r.text) for r in part.toLocalIterator()], tile)
+    if total > BLOCK_BYTES:
+        rows = rows.repartition(-(-total // BLOCK_BYTES))  # what the driver reads at once
+    held: list[tuple] = []
+    size = 0
+    for r in rows.toLocalIterator():
+        more = len((r.text or "").encode()) + 64
+        if held and size + more > BLOCK_BYTES:
+            yield prepare(held, tile)
+            held, size = [], 0
+        held.append((r.item, r.text))
+        size += more
+    if held:
+        yield prepare(held, tile)
 
 
 def contaminated(

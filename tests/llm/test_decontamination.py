@@ -100,3 +100,49 @@ def test_query_finds_whole_items(spark, folder):
     for (d, k), c in rows.items():
         if len(texts[d]) < 400:
             assert abs(coverage(wanted[k], texts[d], 4) - c) < 1e-9
+
+
+def test_repetitive_text_with_a_long_item_stays_small():
+    """A worker's memory follows the runs and the words, not the pairs of equal seeds."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tallymark.llm import decontamination as D
+
+    items = D.prepare([(1, "x " * 1000)], 4)
+    words = D.Words(pa.array(["x " * 30_000], pa.string()))
+    tracemalloc.start()
+    found = list(D._matches(words, items, 4, 0.6))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, 0, 1.0, 1)] and peak < 200 << 20
+
+
+@pytest.mark.parametrize("pairs", [1, 7, 1 << 20])
+def test_runs_of_any_part_size_give_plain_tiling(monkeypatch, pairs):
+    import pyarrow as pa
+
+    from tallymark.llm import decontamination as D
+
+    monkeypatch.setattr(D, "PAIRS", pairs)
+    pick = random.Random(9)
+    for _ in range(150):
+        few = [f"v{k}" for k in range(pick.choice((1, 2, 3)))]
+        item, doc = pick.choices(few, k=pick.randint(1, 14)), pick.choices(few, k=pick.randint(1, 40))
+        items = D.prepare([(0, " ".join(item))], 3)
+        found = list(D._matches(D.Words(pa.array([" ".join(doc)], pa.string())), items, 3, 0.01))
+        want = coverage(item, doc, 3)
+        assert [round(c, 9) for _, _, c, _ in found] == ([round(want, 9)] if want >= 0.01 else [])
+
+
+def test_equal_items_are_spread_over_blocks(spark, monkeypatch):
+    from tallymark.llm import decontamination as D
+
+    monkeypatch.setattr(D, "BLOCK_BYTES", 2000)
+    text = " ".join(f"w{k}" for k in range(60))
+    bench = spark.createDataFrame([(k, text) for k in range(40)], "item_id long, text string")
+    sizes = [sum(len(w) for w in block.words) for block in D._blocks(bench, "item_id", "text", 4)]
+    assert sum(sizes) == 40 * 60 and max(sizes) <= 60 * (2000 // len(text) + 1)
+    docs = spark.createDataFrame([(1, text), (2, "clean")], "doc_id long, text string")
+    assert found(docs, bench) == [(1, k, 1.0) for k in sorted(range(40), key=lambda k: str((1, k, 1.0)))]
