@@ -55,6 +55,17 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of `df` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """`df` without its columns of these names, in any case."""
     taken = {n.lower() for n in names}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark import staging
 from tallymark.staging import discard, stage
 
 BROADCAST_ROWS = 4_000_000
@@ -17,8 +18,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def measured(df: DataFrame, name: str, most: int = BROADCAST_ROWS) -> DataFrame:
     """`df` (few narrow columns), staged and counted: broadcast up to `most` rows, else shuffled."""
-    df = staged(df, name)
-    return F.broadcast(df) if df.count() <= most else df
+    return staging.measured(df, name, most)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.batches import Words, list_array, map_arrow, sliced, text_array
+from tallymark.llm.batches import Words, fresh, list_array, map_arrow, sliced, text_array
 from tallymark.llm.graph import components, measured, staged
 from tallymark.llm.hashing import mix, shingle_hashes
 from tallymark.staging import discard
@@ -411,15 +411,16 @@ def distinct_documents(df: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     judged = rows.join(named.join(best, "comp").select("key", "best"), "key").groupBy("row").agg(
         F.count("*").alias("n"), F.first(F.col("row") == F.col("best")).alias("stays")
     )
+    own_id, own_mark, stays = fresh(df, "__id", "__mark", "__stays")
     marks = measured(
         judged.filter("not stays or n > 1").select(
-            F.col("row.doc_id").alias("__id"), F.col("row.mark").alias("__mark"), F.col("stays").alias("__stays")
+            F.col("row.doc_id").alias(own_id), F.col("row.mark").alias(own_mark), F.col("stays").alias(stays)
         ),
         "marks", MOST_MARKS,
     )
-    same = number.eqNullSafe(F.col("__id")) & (mark == F.col("__mark"))
+    same = number.eqNullSafe(F.col(own_id)) & (mark == F.col(own_mark))
     left = df.join(marks, same, "left_anti")
-    if marks.filter("__stays").isEmpty():
+    if marks.filter(stays).isEmpty():
         return left
-    copies = df.join(marks.filter("__stays"), same).dropDuplicates(["__id", "__mark"])
+    copies = df.join(marks.filter(stays), same).dropDuplicates([own_id, own_mark])
     return left.unionByName(copies.select([F.col(f"`{c}`") for c in df.columns]))

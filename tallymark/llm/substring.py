@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.batches import Words, map_arrow, sliced, text_array
+from tallymark.llm.batches import Words, fresh, map_arrow, sliced, text_array
 from tallymark.llm.graph import measured, staged
 from tallymark.llm.hashing import sequence_hashes
 
@@ -177,15 +177,17 @@ def remove_repeats(
     """
     shared = _shared(df, doc_id, text)
     spans = _places(df, least, doc_id, text, shared).filter("not kept")
-    cuts = spans.groupBy(F.col("doc").alias("__doc")).agg(
-        F.collect_list(F.struct("start_word", "n_words")).alias("__spans")
-    )
-    same = _number(doc_id) == F.col("__doc")
+    doc, mark, found = fresh(df, "__doc", "__mark", "__spans")
+    cuts = spans.groupBy("doc").agg(F.collect_list(F.struct("start_word", "n_words")).alias(found))
+    number = F.col("doc.id") if shared else F.col("doc")
+    same = _number(doc_id) == F.col(doc)
     if shared:
-        cuts = cuts.select(F.col("__doc.id").alias("__doc"), F.col("__doc.mark").alias("__mark"), "__spans")
-        same &= _mark(text) == F.col("__mark")
+        cuts = cuts.select(number.alias(doc), F.col("doc.mark").alias(mark), found)
+        same &= _mark(text) == F.col(mark)
+    else:
+        cuts = cuts.select(number.alias(doc), found)
     cuts = measured(cuts, "cuts", MOST_CUTS)
-    joined = df.join(cuts, same, "left").drop("__doc", "__mark")
+    joined = df.join(cuts, same, "left").drop(doc, mark)
     schema = T.StructType(df.schema.fields)
     column = df.columns.index(text)
     count = df.columns.index(n_chars) if n_chars else None
