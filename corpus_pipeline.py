@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import bpe, decontamination, language_id, minhash, substring
+from tallymark.llm.batches import fresh, without
 from tallymark.llm.q_tokens import vocabulary
 from tallymark.staging import stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a language: null, or without a letter."""
+    """Rejects texts without a language: null, without a letter, or of which the model knows nothing."""
     return language_id.recognised(docs, language_id.fit(docs))
 
 
@@ -35,11 +36,15 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids (binary, little-endian unsigned 32-bit), their number, and the text they give."""
-    kept = docs.drop("ids", "n_tokens").withColumnRenamed("text", "__text")
-    encoded = bpe.encode(kept, vocabulary(), text="__text", decoded="text")
+    """Token ids (binary, little-endian unsigned 32-bit), their number, and the text they give.
+
+    Columns `ids` and `n_tokens` are replaced, all others stay.
+    """
+    kept = without(docs, "ids", "n_tokens")
+    (given,) = fresh(kept, "__text")
+    encoded = bpe.encode(kept.withColumnRenamed("text", given), vocabulary(), text=given, decoded="text")
     return encoded.select(
-        *docs.drop("ids", "n_tokens").columns,
+        *(F.col(f"`{c}`") for c in kept.columns),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
     )
 
