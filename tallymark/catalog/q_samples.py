@@ -256,8 +256,9 @@ def evaluated(spark, folder):
 
 EVALUATED_SQL = f"""
 scored AS MATERIALIZED (SELECT o_orderkey AS transaction_id,
-  list_concat({sql_folded(30, '2.0')}, [0.0]) AS scores FROM orders JOIN embeddings
-  ON vec_id = o_orderkey % (SELECT count(*) FROM embeddings)),
+  list_concat({sql_folded(30, '2.0')}, [0.0]) AS scores
+  FROM (SELECT o_orderkey, o_orderkey % (SELECT count(*) FROM embeddings) AS vector_key FROM orders)
+  JOIN embeddings ON vec_id = vector_key),
 labelled AS MATERIALIZED (SELECT *, list_position(scores, list_max(scores)) - 1 AS best,
   CASE WHEN transaction_id % 41 = 0 THEN NULL WHEN transaction_id % 2 = 0
   THEN list_position(scores, list_max(scores)) - 1 ELSE transaction_id % 31 END AS truth

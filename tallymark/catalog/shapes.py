@@ -218,8 +218,9 @@ def scored(spark: SparkSession, folder: str, config, texts: bool = True) -> Data
     factor = 2.0 if config.name == "retail" else 3.0
 
     def folded(c: Column) -> Column:
-        own = F.filter("embedding", lambda x, d: d % n == c)
-        return F.aggregate(own, F.lit(0.0), lambda a, x: a + x.cast("double")) * factor
+        own = F.sequence(c, F.size("embedding") - 1, F.lit(n))
+        total = F.aggregate(own, F.lit(0.0), lambda a, d: a + F.get("embedding", d).cast("double"))
+        return F.when(c < F.size("embedding"), total * factor).when(F.col("embedding").isNotNull(), 0.0)
 
     places = F.sequence(F.lit(0), F.lit(n - 1))
     vectors = embeddings.select("vec_id", F.transform(places, folded).alias("scores"))

@@ -33,9 +33,10 @@ SELECT o_custkey AS user_id, o_custkey * 10 + (o_orderkey % 4 = 3)::INT AS accou
   CASE WHEN o_orderkey % 17 = 0 THEN 'SAVINGS_ACCOUNT' ELSE 'CURRENT_ACCOUNT' END
     AS counter_account_type,
   CASE o_orderkey % 6 WHEN 0 THEN 'Internal' WHEN 1 THEN NULL ELSE 'Shopping' END AS category
-FROM orders
-JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)
-JOIN supplier ON s_suppkey = o_orderkey % (SELECT count(*) FROM supplier)
+FROM (SELECT *, o_orderkey % (SELECT count(*) FROM part) AS part_key,
+    o_orderkey % (SELECT count(*) FROM supplier) AS supplier_key FROM orders)
+JOIN part ON p_partkey = part_key
+JOIN supplier ON s_suppkey = supplier_key
 {documents}
 """
 
@@ -49,11 +50,11 @@ def sql_folded(n: int, factor: str) -> str:
 
 
 _SCORED = """
-SELECT t.*, CASE WHEN account_id % 2 = 1 THEN 'SAVINGS_ACCOUNT' ELSE 'CURRENT_ACCOUNT' END
+SELECT t.* EXCLUDE (vector_key), CASE WHEN account_id % 2 = 1 THEN 'SAVINGS_ACCOUNT' ELSE 'CURRENT_ACCOUNT' END
     AS account_type,
   {folded} AS scores
-FROM fx_transactions t JOIN embeddings
-  ON vec_id = transaction_id % (SELECT count(*) FROM embeddings)
+FROM (SELECT *, transaction_id % (SELECT count(*) FROM embeddings) AS vector_key FROM fx_transactions) t
+JOIN embeddings ON vec_id = vector_key
 """
 
 _SHAPES: dict[str, tuple[tuple[str, ...], str]] = {
