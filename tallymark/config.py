@@ -132,8 +132,14 @@ class ModelConfig:
     test_share: float = 0.1
     sequence_length: int = 60
     hash_buckets: int = 600_000
+    #: "md5", which every engine can repeat, or "fingerprint", as models trained elsewhere number n-grams
+    bucket_hash: str = "md5"
     embedding_size: int = 32
     margin: float = 0.1
+    learning_rate: float = 0.01
+    batch_size: int = 512
+    max_epochs: int = 40
+    max_retries: int = 2
     max_recall_rank: int = 3
     min_weighted: Mapping[str, float] = field(
         default_factory=lambda: {"precision": 0.60, "recall": 0.60, "f1_score": 0.60}

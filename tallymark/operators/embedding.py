@@ -178,7 +178,8 @@ class EmbeddingModel:
         if self.weights is None:
             return text
         rows = F.array(*[F.array(*[F.lit(float(w)) for w in row]) for row in self.weights])
-        inputs = F.concat(text, F.col("preprocessed_numeric_features"))
+        numeric = F.transform("preprocessed_numeric_features", lambda x: F.coalesce(x, F.lit(0.0)))
+        inputs = F.concat(text, numeric)
         product = vectors.let(inputs, lambda x: vectors.matvec(rows, x))
         if self.bias is None:
             return product
@@ -234,7 +235,7 @@ class EmbeddingModel:
                 )
                 if dense is not None:
                     extra = np.array(numeric.slice(start, stop - start).to_pylist(), dtype=float)
-                    x = np.hstack([x, extra]) @ dense + offset
+                    x = np.hstack([x, np.nan_to_num(extra)]) @ dense + offset
                 norm = np.sqrt(np.maximum((x * x).sum(axis=1), smallest))
                 scores[start:stop] = (x / norm[:, None]) @ label_columns
             offsets = np.arange(0, (n + 1) * size, size, dtype=np.int32)

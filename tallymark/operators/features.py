@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.config import POSTPROCESSING_COLUMNS, ModelConfig
-from tallymark.functions import text
+from tallymark.functions import fingerprint, text
 from tallymark.operators import filters
 
+_BUCKETS = {"md5": text.hash_buckets, "fingerprint": fingerprint.fingerprint_buckets}
+
 
 def amount_range(df: DataFrame) -> DataFrame:
     """Smallest and largest amount; of the training split, before labels are excluded."""
@@ -65,7 +67,7 @@ def features(df: DataFrame, config: ModelConfig, limits: Column) -> DataFrame:
     rows = rows.withColumn(
         "_tokens", text.tokenize(F.col("cleaned_description"), config.max_tokens)
     )
-    buckets = text.hash_buckets(
+    buckets = _BUCKETS[config.bucket_hash](
         text.ngrams(F.col("_tokens")), config.hash_buckets, config.sequence_length
     )
     return rows.withColumn("preprocessed_description", buckets).drop("_tokens")
