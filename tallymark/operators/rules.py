@@ -7,7 +7,9 @@ A pack maps a category to
      "counterparty": {"+": [...], "-": [...]},
      "amount_based": [{"min": x, "max": y, "description": [...], "counterparty": [...]}]}
 
-Patterns are matched against cleaned text, which holds only a-z and single spaces.
+Patterns are matched against cleaned text, which holds only a-z and single spaces. A small pack is
+one alternation per category and sign; a pack of more than INDEXED_PATTERNS patterns goes through an
+index of their literals (`pattern_index`), so that a text meets only patterns that may match.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ from tallymark.config import FEEDBACK_COLUMNS, IDENTITY
 from tallymark.functions.text import clean_for_rules
 from tallymark.functions.vectors import let
 from tallymark.operators import joins
+from tallymark.operators.pattern_index import PatternIndex
 
 Pack = Mapping[str, Mapping]
 
 _PACK_FOLDER = Path(__file__).resolve().parent.parent / "packs"
 _TEXT_COLUMNS = {"description": "description", "counterparty": "bank_counterparty_name"}
+INDEXED_PATTERNS = 200
 
 
 def load_pack(name: str) -> dict:
@@ -40,18 +44,22 @@ def matches_any(column: str, patterns: Sequence[str]) -> Column:
     return F.col(column).rlike("|".join(patterns)) if patterns else F.lit(False)
 
 
-def matches_band(band: Mapping) -> Column:
-    """Amount within [min, max] and a hit in the description or the counterparty."""
+def _inside(band: Mapping) -> Column:
     amount = F.col("amount")
-    inside = F.lit(True)
+    inside = amount.isNotNull()
     if "min" in band:
         inside = inside & (amount >= F.lit(float(band["min"])))
     if "max" in band:
         inside = inside & (amount <= F.lit(float(band["max"])))
+    return inside
+
+
+def matches_band(band: Mapping) -> Column:
+    """Amount within [min, max] and a hit in the description or the counterparty."""
     hit = matches_any("description", band.get("description", ())) | matches_any(
         "bank_counterparty_name", band.get("counterparty", ())
     )
-    return amount.isNotNull() & inside & hit
+    return _inside(band) & hit
 
 
 def matches_rule(rule: Mapping) -> Column:
@@ -74,8 +82,56 @@ def cleaned(df: DataFrame) -> DataFrame:
     return df.withColumns({c: clean_for_rules(F.col(c)) for c in _TEXT_COLUMNS.values()})
 
 
+def _part_patterns(pack: Pack, part: str) -> list[str]:
+    """All patterns of a pack on a text column, each once."""
+    every = [p for rule in pack.values() for sign in ("+", "-") for p in rule[part][sign]]
+    every += [p for rule in pack.values() for band in rule.get("amount_based", ()) for p in band.get(part, ())]
+    return list(dict.fromkeys(every))
+
+
+def _matches_found(rule: Mapping, places: Mapping[str, Mapping[str, int]], found: Mapping[str, Column]) -> Column:
+    """`matches_rule` where `found` holds, for each text column, the places of its patterns that match.
+
+    A missing text that the rule has barred patterns for is no match, as there.
+    """
+
+    def any_of(part: str, patterns: Sequence[str]) -> Column:
+        wanted = F.array(*[F.lit(places[part][p]) for p in patterns])
+        return F.arrays_overlap(found[part], wanted) if patterns else F.lit(False)
+
+    wanted = barred = F.lit(False)
+    for part in _TEXT_COLUMNS:
+        wanted = wanted | any_of(part, rule[part]["+"])
+        if rule[part]["-"]:
+            barred = barred | F.col(_TEXT_COLUMNS[part]).isNull() | any_of(part, rule[part]["-"])
+    for band in rule.get("amount_based", ()):
+        hit = F.lit(False)
+        for part in _TEXT_COLUMNS:
+            hit = hit | any_of(part, band.get(part, ()))
+        wanted = wanted | (_inside(band) & hit)
+    return (F.col("transaction_type") == rule["transaction_type"]) & wanted & ~barred
+
+
+def _matching_by_index(pack: Pack) -> Column:
+    patterns = {part: _part_patterns(pack, part) for part in _TEXT_COLUMNS}
+    places = {part: {p: k for k, p in enumerate(some)} for part, some in patterns.items()}
+    found = F.struct(*[
+        PatternIndex(tuple(some)).matched(F.col(_TEXT_COLUMNS[part])).alias(part) for part, some in patterns.items()
+    ])
+
+    def categories(own: Column) -> Column:
+        return F.array_compact(F.array(*[
+            F.when(_matches_found(rule, places, {part: own[part] for part in _TEXT_COLUMNS}), F.lit(category))
+            for category, rule in pack.items()
+        ]))
+
+    return let(found, categories)
+
+
 def matching_categories(pack: Pack) -> Column:
     """Array of all categories that match a cleaned row, in a single pass over the row."""
+    if sum(len(_part_patterns(pack, part)) for part in _TEXT_COLUMNS) > INDEXED_PATTERNS:
+        return _matching_by_index(pack)
     found = [F.when(matches_rule(rule), F.lit(category)) for category, rule in pack.items()]
     return F.array_compact(F.array(*found))
 
