@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from tallymark.catalog import shapes as fx
 from tallymark.catalog.registry import query
 from tallymark.catalog.sql import in_list, quote, text_list, with_shapes
-from tallymark.config import RETAIL, SME, SME_DEFAULTS
+from tallymark.config import IDENTITY, RETAIL, SME, SME_DEFAULTS
 from tallymark.operators import features, feedback, filters, joins, overrides
-from tallymark.sources import golden, sinks, tables
+from tallymark.sources import golden, layout, publication, sinks, tables
 from tallymark.staging import new_folder
 
 KEYS = "user_id, account_id, transaction_id"
@@ -132,6 +132,78 @@ def sink_run_metadata(spark, folder):
     return spark.read.schema("metric string, value string").json(path)
 
 
+@query("sink_counted_write", with_shapes("fx_users", f"""
+SELECT CASE WHEN client_id IN {_CLIENTS} THEN 'app' ELSE 'business' END AS domain, country_code,
+  count(*) AS n_rows FROM fx_users WHERE country_code <> 'DE' GROUP BY ALL"""))
+def sink_counted_write(spark, folder):
+    """Rows per domain and country as the write itself observed them."""
+    domain = F.when(F.col("client_id").isin(list(fx.CLIENTS)), "app").otherwise("business")
+    rows = fx.users(spark, folder).withColumn("domain", domain).where("country_code <> 'DE'")
+    config = RETAIL.with_values(domains=("app", "business"))
+    counts = sinks.write_counted(rows, new_folder(spark, "counted"), config)
+    return spark.createDataFrame(
+        [(d, c, n) for (d, c), n in counts.items()], "domain string, country_code string, n_rows long"
+    )
+
+
+@query("sink_published", with_shapes("fx_users", f"""
+SELECT user_id, country_code, domain, CASE domain WHEN 'app' THEN 2 ELSE 1 END AS run FROM (
+  SELECT *, CASE WHEN client_id IN {_CLIENTS} THEN 'app' ELSE 'business' END AS domain FROM fx_users)
+WHERE country_code <> 'DE' AND (domain = 'business' OR country_code <> 'FR')"""))
+def sink_published(spark, folder):
+    """A first run of two domains, a second that replaces one, a third that is broken off."""
+    domain = F.when(F.col("client_id").isin(list(fx.CLIENTS)), "app").otherwise("business")
+    rows = fx.users(spark, folder).withColumn("domain", domain).where("country_code <> 'DE'")
+    rows = rows.select("user_id", "country_code", "domain")
+    root = new_folder(spark, "published")
+    both, app = RETAIL.with_values(domains=("app", "business")), RETAIL
+    for number, (df, config) in enumerate([(rows, both), (rows.where("domain = 'app' and country_code <> 'FR'"), app)], 1):
+        run = publication.Publication(spark, root)
+        run.write("training", df.withColumn("run", F.lit(number)), config)
+        run.publish()
+    publication.Publication(spark, root).write("training", rows.withColumn("run", F.lit(3)), both)
+    return publication.read(spark, root, "training")
+
+
+_PAID_FILE = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("amount", T.DoubleType()), T.StructField("note", T.StringType()),
+])
+
+
+@query("src_set_aside", """
+SELECT f.format, o_orderkey AS id, o_totalprice AS amount, (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0) AS n_value,
+  (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 1) AS n_broken
+FROM orders, (VALUES ('csv'), ('json')) f(format) WHERE o_orderkey % 5 > 1""")
+def src_set_aside(spark, folder):
+    """Files of which each fifth row holds a word for a number, and each fifth is broken off."""
+    key = F.col("o_orderkey")
+    orders = fx.table(spark, folder, "orders").select(key.alias("id"), F.col("o_totalprice").alias("amount"))
+    price = F.when(F.col("id") % 5 == 0, "many").otherwise(F.col("amount").cast("string"))
+    broken = F.col("id") % 5 == 1
+    csv = F.when(broken, F.col("id").cast("string")).otherwise(F.concat_ws(",", F.col("id").cast("string"), price, F.lit("x")))
+    value = F.when(F.col("id") % 5 == 0, '"many"').otherwise(F.col("amount").cast("string"))
+    json = F.concat(F.lit('{"id": '), F.col("id"), F.lit(', "amount": '), value, F.when(broken, "").otherwise(', "note": "x"}'))
+    root, result = new_folder(spark, "checked"), None
+    for kind, line in (("csv", csv), ("json", json)):
+        path = f"{root}/{kind}"
+        if kind == "json":
+            orders.select(line).write.text(path)
+        else:  # whole lines as one column of that name, so each file has its header
+            orders.select(line.alias("id,amount,note")).write.csv(path, sep="\t", header=True, quote="")
+        good, bad = tables.read_checked(spark, path, _PAID_FILE, kind)
+        counts = bad.groupBy("reason").count()
+
+        def number(*reasons):
+            return counts.where(F.col("reason").isin(*reasons)).agg(F.sum("count")).scalar()
+
+        part = good.select(
+            F.lit(kind).alias("format"), "id", "amount", number("value").alias("n_value"),
+            number("fields", "syntax").alias("n_broken"),
+        )
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 # --- filters and projections --------------------------------------------------------------
 
 
@@ -318,9 +390,10 @@ removed AS (SELECT count(*) AS held_out FROM fx_transactions_short
 SELECT {KEYS}, held_out FROM (SELECT * FROM fx_transactions_short
   ANTI JOIN held USING (user_id, account_id, transaction_id)), removed"""))
 def join_anti_inspection(spark, folder):
-    rows, inspection = fx.transactions(spark, folder, False), _inspection(spark, folder)
-    removed = joins.held_out_count(rows, inspection).scalar()
-    return _keys(joins.hold_out(rows, inspection)).withColumn("held_out", removed)
+    rows = fx.transactions(spark, folder, False)
+    held = joins.held_keys(_inspection(spark, folder))
+    removed = joins.held_out_count(rows, held).scalar()
+    return _keys(joins.hold_out(rows, held)).withColumn("held_out", removed)
 
 
 @query("join_semi_accounts", with_shapes("fx_transactions_short fx_accounts", f"""
@@ -380,6 +453,30 @@ def join_txn_identity(spark, folder):
     )
 
 
+@query("join_identity_layout", with_shapes("fx_latest fx_transactions_short", """
+SELECT t.user_id, t.account_id, t.transaction_id, t.date::VARCHAR AS date, t.pending, t.amount,
+  coalesce(target_category, '<null>') AS target_category
+FROM fx_latest l, fx_transactions_short t
+WHERE t.user_id = l.user_id AND t.account_id = l.account_id AND t.date = l.date
+  AND t.transaction_id = l.transaction_id AND t.pending = l.pending"""))
+def join_identity_layout(spark, folder):
+    """The feedback join on tables that lie by identity: newest label and join without a shuffle."""
+    made = {
+        "transactions": fx.transactions(spark, folder, False).select(*IDENTITY, "amount"),
+        "feedback": feedback.union_feedback(fx.feedback_sources(spark, folder)),
+    }
+    lies = {}
+    for name, df in made.items():
+        path = new_folder(spark, name)
+        lies[name] = layout.write_by_identity(df, f"{name}_{path.rsplit('-', 1)[-1]}", path, 8)
+    latest = feedback.latest_feedback([lies["feedback"]])
+    rows = joins.with_transactions(latest, lies["transactions"])
+    return _keys(
+        rows, _day(), "pending", "amount",
+        F.coalesce("target_category", F.lit("<null>")).alias("target_category"),
+    )
+
+
 _LOOKUP = (("3000", "Travel"), ("0742", "Pets"))
 
 

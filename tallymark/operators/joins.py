@@ -69,15 +69,18 @@ def without_test_users(users: DataFrame, test_users: DataFrame | None) -> DataFr
 INSPECTION_KEYS = ["user_id", "account_id", "transaction_id"]
 
 
-def hold_out(transactions: DataFrame, inspection: DataFrame) -> DataFrame:
-    """Transactions that are not in the inspection set."""
-    held = measured(inspection.select(*INSPECTION_KEYS).distinct(), "inspection")
+def held_keys(inspection: DataFrame) -> DataFrame:
+    """The keys of the inspection set, written and counted once for all uses."""
+    return measured(inspection.select(*INSPECTION_KEYS).distinct(), "inspection")
+
+
+def hold_out(transactions: DataFrame, held: DataFrame) -> DataFrame:
+    """Transactions that are not in the inspection set; `held` are its keys."""
     return transactions.join(held, INSPECTION_KEYS, "left_anti")
 
 
-def held_out_count(transactions: DataFrame, inspection: DataFrame) -> DataFrame:
+def held_out_count(transactions: DataFrame, held: DataFrame) -> DataFrame:
     """How many transactions the hold-out removes, counted from the removed rows alone."""
-    held = measured(inspection.select(*INSPECTION_KEYS).distinct(), "inspection")
     removed = transactions.select(*INSPECTION_KEYS).join(held, INSPECTION_KEYS, "left_semi")
     return removed.agg(F.count(F.lit(1)).alias("held_out"))
 

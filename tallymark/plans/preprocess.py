@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,10 +19,12 @@ from tallymark.plans.training import (
     samples,
 )
 from tallymark.sources import sinks, tables
+from tallymark.sources.publication import Publication
 
 
 def read_domain(
-    spark: SparkSession, config: ModelConfig, domain: str, paths: Mapping[str, str]
+    spark: SparkSession, config: ModelConfig, domain: str, paths: Mapping[str, str],
+    set_aside: Callable[[str, DataFrame], None] | None = None,
 ) -> DomainTables:
     """Tables of a domain by their configured names; test users may have no path.
 
@@ -32,7 +34,8 @@ def read_domain(
     known = tables.SME_TABLES if generated else tables.RETAIL_TABLES
 
     def read(name: str) -> DataFrame | None:
-        return tables.read_table(spark, f"{name}_{domain}" if generated else name, paths, known)
+        table = f"{name}_{domain}" if generated else name
+        return tables.read_table(spark, table, paths, known, set_aside)
 
     feedback = [] if generated else [read(name) for name in tables.FEEDBACK_TABLES]
     return DomainTables(
@@ -54,13 +57,20 @@ def run(
     packs: Mapping[str, Pack] | None = None,
     business_only: Sequence[str] = (),
     inspection_path: str | None = None,
+    set_aside: bool = False,
+    publish: bool = False,
 ) -> DataFrame:
     """Write `training`, `production`, `metadata` and, with packs, `feedback/<domain>` below
     `output`; returns the metadata.
 
-    Sizes are counted on the written tables, so nothing behind them runs again. Metadata also hold
-    the folders that feedback was read from, the number of held-out transactions and the seconds of
-    each step. Intermediate tables of the job are deleted at the end.
+    Sizes are observed while the tables are written. Metadata also hold the folders that feedback was
+    read from, the number of held-out transactions and the seconds of each step. Intermediate tables
+    of the job are deleted at the end.
+
+    `set_aside` leaves out rows of CSV and JSON files that do not fit their schema, writes them with
+    file and reason to `rejected/<table>`, and counts them in the metadata. `publish` writes the
+    training and production tables as one new version (see `publication`) that readers see only
+    when both are complete, instead of overwriting `training` and `production`.
     """
     if config.test_site_id is None:
         raise ValueError("give the configuration its clients and test site: for_deployment()")
@@ -73,21 +83,30 @@ def run(
         facts[f"seconds.{step}"] = f"{time.monotonic() - clock:.1f}"
         clock = time.monotonic()
 
+    def reject(table: str, bad: DataFrame) -> None:
+        if f"rejected.{table}" in facts:  # tables that several domains read
+            return
+        bad.write.mode("overwrite").json(f"{output}/rejected/{table}")
+        written = spark.read.schema(bad.schema).json(f"{output}/rejected/{table}")
+        facts[f"rejected.{table}"] = str(written.count())
+
     with staging.kept_until_done(spark):
-        domains = {d: read_domain(spark, config, d, paths) for d in config.domains}
-        inspection = None
+        domains = {
+            d: read_domain(spark, config, d, paths, reject if set_aside else None) for d in config.domains
+        }
+        if set_aside:
+            lap("rejected")
+        held = None
         if inspection_path is not None:
-            inspection = tables.read_file(spark, inspection_path, schemas.INSPECTION)
+            held = joins.held_keys(tables.read_file(spark, inspection_path, schemas.INSPECTION))
             for d, t in domains.items():
                 recent = filters.from_start_date(t.transactions, config.start_date)
-                facts[f"held_out.{d}"] = str(joins.held_out_count(recent, inspection).first()[0])
+                facts[f"held_out.{d}"] = str(joins.held_out_count(recent, held).first()[0])
             lap("inspection")
         if packs is None:
-            prepared = {d: from_start(t, config, inspection) for d, t in domains.items()}
+            prepared = {d: from_start(t, config, held) for d, t in domains.items()}
         else:
-            prepared = generated_domains(
-                domains, config, packs, run_time, inspection, business_only
-            )
+            prepared = generated_domains(domains, config, packs, run_time, held, business_only)
             for d, t in prepared.items():
                 sinks.write_feedback(t.feedback[0], f"{output}/feedback/{d}")
             lap("feedback")
@@ -95,11 +114,19 @@ def run(
             for number, source in enumerate(t.feedback):
                 for row in tables.lineage(source).collect():  # one row per folder
                     facts[f"feedback.{d}.{number}.{row.folder}"] = str(row.n_rows)
-        written = {}
+        written, counts = {}, {}
+        publication = Publication(spark, output) if publish else None
         for name, sample in zip(("training", "production"), samples(prepared, config, settings)):
-            sinks.write_partitioned(sample, f"{output}/{name}")
-            written[name] = spark.read.schema(sample.schema).parquet(f"{output}/{name}")
+            path = f"{output}/{name}"
+            if publication is None:
+                counts[name] = sinks.write_counted(sample, path, config)
+            else:
+                counts[name] = publication.write(name, sample, config)
+                path = f"{publication.run}/{name}"
+            written[name] = spark.read.schema(sample.schema).parquet(path)
             lap(name)
-        metadata = sinks.run_metadata(written, config, facts)
+        if publication is not None:
+            facts["version"] = str(publication.publish())
+        metadata = sinks.run_metadata(written, config, facts, counts)
         sinks.write_metadata(metadata, f"{output}/metadata")
     return spark.read.schema("metric string, value string").json(f"{output}/metadata")

@@ -80,12 +80,12 @@ def union_domains(parts: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def from_start(
-    tables: DomainTables, config: ModelConfig, inspection: DataFrame | None = None
+    tables: DomainTables, config: ModelConfig, held: DataFrame | None = None
 ) -> DomainTables:
-    """Drop transactions before the start date and those of the inspection set."""
+    """Drop transactions before the start date and those with the keys `held` (`joins.held_keys`)."""
     transactions = filters.from_start_date(tables.transactions, config.start_date)
-    if inspection is not None:
-        transactions = joins.hold_out(transactions, inspection)
+    if held is not None:
+        transactions = joins.hold_out(transactions, held)
     return DomainTables(
         tables.users, tables.accounts, transactions, tables.test_users, tables.feedback
     )
@@ -110,7 +110,8 @@ def preprocess_retail(
     inspection: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Training and production tables from user feedback."""
-    prepared = {d: from_start(t, config, inspection) for d, t in domains.items()}
+    held = None if inspection is None else joins.held_keys(inspection)
+    prepared = {d: from_start(t, config, held) for d, t in domains.items()}
     return samples(prepared, config, settings)
 
 
@@ -148,14 +149,14 @@ def generated_domains(
     config: ModelConfig,
     packs: Mapping[str, rules.Pack],
     run_time: str,
-    inspection: DataFrame | None = None,
+    held: DataFrame | None = None,
     business_only: Sequence[str] = (),
     **business_options,
 ) -> dict[str, DomainTables]:
     """The domains with generated feedback in place of their own."""
     return {
         domain: with_generated_feedback(
-            from_start(tables, config, inspection), config, domain, packs[domain], run_time,
+            from_start(tables, config, held), config, domain, packs[domain], run_time,
             domain in business_only, **business_options,
         )
         for domain, tables in domains.items()
@@ -173,7 +174,8 @@ def preprocess_sme(
     **business_options,
 ) -> tuple[DataFrame, DataFrame]:
     """Training and production tables from generated labels."""
+    held = None if inspection is None else joins.held_keys(inspection)
     prepared = generated_domains(
-        domains, config, packs, run_time, inspection, business_only, **business_options
+        domains, config, packs, run_time, held, business_only, **business_options
     )
     return samples(prepared, config, settings)
