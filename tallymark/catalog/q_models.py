@@ -112,12 +112,12 @@ def _part_pack(spark, folder) -> dict:
 WITH {base_sql()},
 patterns AS (SELECT DISTINCT p_brand AS brand, CASE WHEN p_size % 2 = 0 THEN 'debit' ELSE 'credit' END AS way,
   p_size % 3 = 0 AS barred, p_partkey % 3 AS kind, p_name AS name FROM part),
-tried AS (SELECT transaction_id, brand, way, barred, CASE kind WHEN 0
-    THEN contains(' ' || description || ' ', ' ' || name || ' ') WHEN 1 THEN description = name
-    ELSE contains(description, name) END AS hit
-  FROM base JOIN patterns ON way = transaction_type)
-SELECT transaction_id, brand || ' ' || way AS category FROM tried GROUP BY transaction_id, brand, way
-HAVING bool_or(hit AND NOT barred) AND NOT bool_or(hit AND barred)"""))
+found AS MATERIALIZED (SELECT transaction_id, transaction_type, name, description = name AS whole,
+    contains(' ' || description || ' ', ' ' || name || ' ') AS word
+  FROM base JOIN (SELECT DISTINCT name FROM patterns) n ON contains(description, name))
+SELECT transaction_id, brand || ' ' || way AS category FROM found JOIN patterns USING (name)
+WHERE way = transaction_type AND CASE kind WHEN 0 THEN word WHEN 1 THEN whole ELSE true END
+GROUP BY transaction_id, brand, way HAVING NOT bool_or(barred)"""))
 def rule_match_indexed(spark, folder):
     """A pack of more patterns than an alternation is good for: the literal index finds the hits."""
     found = rules.hits(_base(spark, folder), _part_pack(spark, folder))

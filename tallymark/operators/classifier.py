@@ -29,7 +29,7 @@ def _with_inputs(df: DataFrame, config: ModelConfig) -> DataFrame:
 
 
 def fit(
-    train: DataFrame, config: ModelConfig, n_features: int = 1 << 14, max_iter: int = 20,
+    train: DataFrame, config: ModelConfig, n_features: int = 1 << 14, max_iter: int = 100,
     max_rows: int | None = None, penalty: float = 1e-4,
 ) -> PipelineModel:
     """Fit on rows with features and a trainable label, at most `max_rows` of them if given."""
