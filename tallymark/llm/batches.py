@@ -41,15 +41,20 @@ def map_arrow(
     """mapInArrow with small batches, and memory given back at the end of each task.
 
     Rows hold whole texts; Spark's default of 64 MB a batch is held several times over on the way to
-    Python and back. A limit that the session has set itself is left alone.
+    Python and back. A limit that the session has set itself is left alone. Columns may have any name;
+    those that Spark would read as a path go in under their numbers.
     """
     spark = df.sparkSession
+    names = schema.names if isinstance(schema, T.StructType) else None
+    if any("." in c or "`" in c for c in df.columns):
+        df = df.toDF(*(f"c{k}" for k in range(len(df.columns))))
     importable(spark)
     if spark.conf.get(_BATCH_BYTES) == _DEFAULT_BYTES:
         spark.conf.set(_BATCH_BYTES, "8m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from function(batches)
+        for batch in function(batches):
+            yield batch.rename_columns(names) if names else batch
         pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
