@@ -31,7 +31,7 @@ Pack = Mapping[str, Mapping]
 
 _PACK_FOLDER = Path(__file__).resolve().parent.parent / "packs"
 _TEXT_COLUMNS = {"description": "description", "counterparty": "bank_counterparty_name"}
-INDEXED_PATTERNS = 200
+INDEXED_PATTERNS = 50
 
 
 def load_pack(name: str) -> dict:
