@@ -10,7 +10,6 @@ patterns without such a literal are always evaluated.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
