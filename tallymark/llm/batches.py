@@ -50,7 +50,7 @@ def map_arrow(
         df = df.toDF(*(f"c{k}" for k in range(len(df.columns))))
     importable(spark)
     if spark.conf.get(_BATCH_BYTES) == _DEFAULT_BYTES:
-        spark.conf.set(_BATCH_BYTES, "8m")
+        spark.conf.set(_BATCH_BYTES, "4m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in function(batches):

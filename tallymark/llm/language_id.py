@@ -35,6 +35,7 @@ GRAMS = 10_000
 ORDERS = 5
 MOST_LANGUAGES = 500
 _EDGE = 0x20
+SLICE_BYTES = 1 << 18
 
 
 def _padded(words: LetterWords, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,7 +50,9 @@ def _padded(words: LetterWords, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _grams(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, order: int):
-    """Hash and word number of every n-gram of `order` characters."""
+    """Hash and word number of every n-gram of `order` characters; a mark alone is none."""
+    if order == 1:
+        starts, lengths = starts + 1, lengths - 2
     counts = np.maximum(lengths - order + 1, 0)
     word = np.repeat(np.arange(len(starts)), counts)
     at = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
@@ -126,16 +129,18 @@ def _counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in sliced(whole, 1):
+            for batch in sliced(whole, 1, SLICE_BYTES):
                 langs, number = np.unique(np.array(batch.column(0).to_pylist()), return_inverse=True)
                 words = LetterWords(text_array(batch.column(1)).to_pylist())
                 lang = number[words.text]
-                found = [(0, words.hashes, lang)]
                 padded = _padded(words, np.arange(len(words.starts)))
-                for order in range(1, ORDERS + 1):
-                    hashes, word = _grams(*padded, order)
-                    found.append((order, hashes, lang[word]))
-                for order, hashes, of in found:
+                # one order at a time: all of them are many times the text
+                for order in range(ORDERS + 1):
+                    if order:
+                        hashes, word = _grams(*padded, order)
+                        of = lang[word]
+                    else:
+                        hashes, of = words.hashes, lang
                     for k, name in enumerate(langs.tolist()):
                         keys, n = np.unique(hashes[of == k], return_counts=True)
                         yield pa.RecordBatch.from_arrays(
@@ -187,16 +192,17 @@ def fit(
     )
     kept = (
         counts.join(top, ["order", "key"], "left_semi")
-        .select(number[F.col("lang")].alias("column"), "order", "key", F.col("n").cast("int")).toPandas()
+        .select(number[F.col("lang")].alias("column"), "order", "key", F.col("n").cast("int")).toArrow()
     )
+    column, level, all_found, n = (kept.column(c).to_numpy() for c in ("column", "order", "key", "n"))
     sums = counts.groupBy("lang", "order").agg(F.sum("n").alias("total")).collect()
     total = {(r["lang"], r["order"]): r["total"] for r in sums}
     all_keys, logs = [], []
     for order in range(ORDERS + 1):
-        some = kept[kept.order == order]
-        keys, row = np.unique(some.key.to_numpy(np.int64).view(np.uint64), return_inverse=True)
+        some = level == order
+        keys, row = np.unique(all_found[some].view(np.uint64), return_inverse=True)
         table = np.zeros((len(keys), len(languages)))
-        table[row, some.column.to_numpy()] = some.n.to_numpy()
+        table[row, column[some]] = n[some]
         every = np.array([total.get((name, order), 1) for name in languages], float)
         all_keys.append(keys)
         logs.append(np.log(np.maximum(table, 0.5) / every))
@@ -220,7 +226,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(data.value)
         for whole in batches:
-            for batch in sliced(whole, column):
+            for batch in sliced(whole, column, SLICE_BYTES):
                 names, score, _ = scorer.predict(text_array(batch.column(column)).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(names, pa.string()), pa.array(score)],
@@ -239,7 +245,7 @@ def recognised(df: DataFrame, model: Model, least: float = 0.0, text: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(data.value)
         for whole in batches:
-            for batch in sliced(whole, column):
+            for batch in sliced(whole, column, SLICE_BYTES):
                 names, score, evidence = scorer.predict(text_array(batch.column(column)).to_pylist())
                 keep = (np.array(names, object) != "und") & evidence & (score >= least)
                 yield batch.filter(pa.array(keep.astype(bool)))
