@@ -11,7 +11,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from compare import differences  # noqa: E402
 
+from tallymark.catalog import shapes as fx  # noqa: E402
 from tallymark.catalog.registry import ORACLES, QUERIES  # noqa: E402
+from tallymark.operators import feedback  # noqa: E402
 
 import __spark_entry__  # noqa: E402, F401
 
@@ -70,3 +72,12 @@ def test_few_rows_meet_many_vectors(spark, tmp_path, limited, name):
     limited(autoBroadcastJoinThreshold="300k")
     problem, n = differences(QUERIES[name](spark, folder), _connect(folder), ORACLES[name])
     assert problem is None and n > 0
+
+
+def test_sources_share_one_join_of_events_and_transactions(spark, folder):
+    """Joins below a union of sources would all run, with their sorts, in one task."""
+    sources = fx.feedback_sources(spark, folder)
+    plan = feedback.union_feedback(sources)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    every = fx.feedback(spark, folder)
+    assert sum(df.count() for df in sources) == every.count() + every.where("src = 0").count()
