@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -17,12 +18,14 @@ from tallymark.functions import vectors
 
 # Largest token table that is copied to every executor; a larger one is joined by shuffle.
 _COPY_BYTES = 256 * 1024 * 1024
+# Largest token table that is broadcast for a join, which the driver's JVM holds several times over.
+_BROADCAST_BYTES = 32 * 1024 * 1024
 # Rows whose token vectors are gathered together; bounds the memory of a batch.
 _ROWS_AT_ONCE = 1024
 
 
-def _can_copy(vocabulary: int, size: int) -> bool:
-    return vocabulary * (size * 8 + 32) <= _COPY_BYTES
+def _can_copy(vocabulary: int, size: int, most: int = _COPY_BYTES) -> bool:
+    return vocabulary * (size * 8 + 32) <= most
 
 
 def token_table(token_vectors: DataFrame, vocabulary: int, size: int) -> DataFrame:
@@ -53,7 +56,7 @@ def masked_mean(
     Returns the key columns and `output`.
     """
     known = token_table(token_vectors, vocabulary, size)
-    if _can_copy(vocabulary, size):
+    if _can_copy(vocabulary, size, _BROADCAST_BYTES):
         known = F.broadcast(known)
     tokens = df.select(
         *key,
@@ -128,14 +131,29 @@ def semi_hard_loss(similarity: Column, label_index: Column, margin: float) -> Co
     return F.greatest(F.lit(0.0), negative - positive + F.lit(margin))
 
 
+def parts_of(table: DataFrame, key: str, vector: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and vectors of a table, packed by its tasks and fetched a partition at a time."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, values = batch.column(0), batch.column(1).flatten()
+            packed = [x.to_numpy(zero_copy_only=False).tobytes() for x in (keys, values)]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], names=["keys", "packed"])
+
+    rows = table.select(F.col(key).cast("long"), F.col(vector).cast("array<double>"))
+    for row in rows.mapInArrow(pack, "keys binary, packed binary").toLocalIterator():
+        keys = np.frombuffer(row["keys"], np.int64)
+        if len(keys):
+            yield keys, np.frombuffer(row["packed"]).reshape(len(keys), -1)
+
+
 def _token_matrix(known: DataFrame, rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """A token table as a dense matrix, and which of its rows exist. Bounded by `rows`."""
-    table = known.toArrow()
-    places = table.column("bucket").to_numpy()
     matrix = np.zeros((rows, size))
     present = np.zeros(rows, dtype=bool)
-    if len(places):
-        matrix[places] = np.stack(table.column("vector").to_numpy(zero_copy_only=False))
+    for places, found in parts_of(known, "bucket", "vector"):
+        matrix[places] = found
         present[places] = True
     return matrix, present
 

@@ -27,12 +27,16 @@ from pyspark.sql import functions as F
 
 from tallymark.config import TARGET_INDEX, ModelConfig
 from tallymark.operators import filters
-from tallymark.operators.embedding import EmbeddingModel
+from tallymark.operators.embedding import EmbeddingModel, parts_of
 from tallymark.staging import discard, stage
 
 NUMERIC = 3
 PARTITION_ROWS = 25_000
 MOST_PARTITIONS = 64
+# Vectors of a task that turns parameters into rows, and of an Arrow batch.
+_TASK_VECTORS, _BATCH_VECTORS = 100_000, 4096
+# A message's array and place as one number.
+_PLACES = 1 << 40
 _SMALL = 1e-12
 
 
@@ -250,19 +254,37 @@ class Fit:
     def model(self, spark: SparkSession) -> EmbeddingModel:
         """The scorer of the best round."""
         p = self.parameters
-
-        def table(name: str, keys: np.ndarray, vectors: np.ndarray) -> DataFrame:
-            return spark.createDataFrame(
-                pa.table({name: pa.array(keys, pa.int64()), "vector": pa.array(list(vectors), pa.list_(pa.float64()))})
-            )
-
+        indices = pa.table({
+            "index": pa.array(np.arange(len(p.labels)), pa.int64()),
+            "vector": pa.array(list(p.labels), pa.list_(pa.float64())),
+        })
         return EmbeddingModel(
-            table("bucket", p.buckets, p.tokens),
-            table("index", np.arange(len(p.labels)), p.labels),
+            _token_rows(spark, p.buckets, p.tokens), spark.createDataFrame(indices),
             weights=p.dense.T.tolist(), bias=p.bias.tolist(),
         )
 
 
+def _token_rows(spark: SparkSession, buckets: np.ndarray, tokens: np.ndarray) -> DataFrame:
+    """(bucket, vector) rows, made by tasks and written once: the JVM of the driver never holds them."""
+    shared = spark.sparkContext.broadcast((buckets, tokens))
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, vectors = shared.value
+        for columns in batches:
+            at = columns.column(0).to_numpy()
+            for low in range(0, len(at), _BATCH_VECTORS):
+                some = at[low : low + _BATCH_VECTORS]
+                ends = np.arange(len(some) + 1, dtype=np.int32) * vectors.shape[1]
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(vectors[some].ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[some], pa.int64()), lists], names=["bucket", "vector"])
+
+    numbers = spark.range(0, len(buckets), 1, max(1, -(-len(buckets) // _TASK_VECTORS)))
+    rows = stage(numbers.mapInArrow(run, "bucket long, vector array<double>"), "token-vectors")
+    shared.destroy()
+    return rows
+
+
 def _rows(df: DataFrame, config: ModelConfig) -> DataFrame:
     """(buckets, numeric, label) of the rows with a trainable label; padding goes, null is empty."""
     label = F.col(TARGET_INDEX)
@@ -324,15 +346,18 @@ def _round(rows: DataFrame, start: Parameters, rate: float, margin: float, size:
     sums = [F.sum(F.get("change", F.lit(d)) * weight).alias(f"_{d}") for d in range(dims)]
     means = rows.mapInArrow(run, schema).groupBy("kind", "place").agg(F.sum("weight").alias("weight"), *sums)
     means = means.select(
-        "kind", "place", F.array(*[F.coalesce(F.col(f"_{d}") / weight, F.lit(0.0)) for d in range(dims)]).alias("change")
-    ).toArrow()
-    shared.unpersist()
-    kind, place = means.column("kind").to_numpy(), means.column("place").to_numpy()
-    change = means.column("change").combine_chunks().flatten().to_numpy().reshape(-1, dims)
-    out = start.copy()
-    for k, group in enumerate(out.groups):
-        group[place[kind == k]] += change[kind == k]
-    return out, float(change[kind == -1][0, 0]) if (kind == -1).any() else 0.0
+        ((F.col("kind") + 1) * _PLACES + F.col("place")).alias("at"),
+        F.array(*[F.coalesce(F.col(f"_{d}") / weight, F.lit(0.0)) for d in range(dims)]).alias("change"),
+    )
+    out, loss = start.copy(), 0.0
+    for at, change in parts_of(means, "at", "change"):
+        kind, place = at // _PLACES - 1, at % _PLACES
+        for k, group in enumerate(out.groups):
+            group[place[kind == k]] += change[kind == k]
+        if (kind == -1).any():
+            loss = float(change[kind == -1][0, 0])
+    shared.destroy()
+    return out, loss
 
 
 def measure(rows: DataFrame, p: Parameters, margin: float) -> tuple[int, float, float]:
@@ -356,7 +381,7 @@ def measure(rows: DataFrame, p: Parameters, margin: float) -> tuple[int, float,
     found = rows.mapInArrow(run, "n long, loss double, right_ones long").agg(
         F.sum("n").alias("n"), F.sum("loss").alias("loss"), F.sum("right_ones").alias("right_ones")
     ).first()
-    shared.unpersist()
+    shared.destroy()
     n = found["n"] or 0
     return n, (found["loss"] / n if n else 0.0), (found["right_ones"] / n if n else 0.0)
 

@@ -196,3 +196,24 @@ def test_odd_rows(spark):
     assert all(np.isfinite(r.scores).all() for r in scored)
     with pytest.raises(ValueError, match="no rows"):
         fit(df.limit(0), df, CONFIG)
+
+
+def test_driver_takes_parameters_in_parts(spark, monkeypatch):
+    """Neither rounds, models nor scorers collect a table of vectors whole or pass one through the driver's JVM."""
+    from pyspark.sql import DataFrame
+
+    def refused(self):
+        if any("array" in kind for _, kind in self.dtypes):
+            raise AssertionError("a table of vectors is collected whole")
+        return whole(self)
+
+    whole = DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", refused)
+    keys, vectors = np.array([3, 5, 9]), np.arange(12, dtype=float).reshape(3, 4)
+    p = Parameters(keys, vectors, np.eye(4 + metric_learning.NUMERIC)[:, :4], np.zeros(4), np.eye(4))
+    model = metric_learning.Fit(p).model(spark)
+    assert "LocalRelation" not in model.token_vectors._jdf.queryExecution().optimizedPlan().toString()
+    matrix, present = embedding._token_matrix(model.token_vectors, 10, 4)
+    assert np.flatnonzero(present).tolist() == keys.tolist() and (matrix[keys] == vectors).all()
+    empty, none = embedding._token_matrix(model.token_vectors.limit(0), 10, 4)
+    assert not none.any() and not empty.any()
