@@ -89,41 +89,55 @@ def _part_patterns(pack: Pack, part: str) -> list[str]:
     return list(dict.fromkeys(every))
 
 
-def _matches_found(rule: Mapping, places: Mapping[str, Mapping[str, int]], found: Mapping[str, Column]) -> Column:
-    """`matches_rule` where `found` holds, for each text column, the places of its patterns that match.
+def _matching_by_index(pack: Pack) -> Column:
+    """`matches_rule` for all rules at once, by the places of the patterns that match.
 
-    A missing text that the rule has barred patterns for is no match, as there.
+    A place names the rules that want or bar its pattern, so a row's cost follows its matches, not
+    the pack. A missing text that a rule has barred patterns for is no match, as there.
     """
-
-    def any_of(part: str, patterns: Sequence[str]) -> Column:
-        wanted = F.array(*[F.lit(places[part][p]) for p in patterns])
-        return F.arrays_overlap(found[part], wanted) if patterns else F.lit(False)
-
-    wanted = barred = F.lit(False)
-    for part in _TEXT_COLUMNS:
-        wanted = wanted | any_of(part, rule[part]["+"])
-        if rule[part]["-"]:
-            barred = barred | F.col(_TEXT_COLUMNS[part]).isNull() | any_of(part, rule[part]["-"])
-    for band in rule.get("amount_based", ()):
-        hit = F.lit(False)
-        for part in _TEXT_COLUMNS:
-            hit = hit | any_of(part, band.get(part, ()))
-        wanted = wanted | (_inside(band) & hit)
-    return (F.col("transaction_type") == rule["transaction_type"]) & wanted & ~barred
-
-
-def _matching_by_index(pack: Pack) -> Column:
     patterns = {part: _part_patterns(pack, part) for part in _TEXT_COLUMNS}
     places = {part: {p: k for k, p in enumerate(some)} for part, some in patterns.items()}
     found = F.struct(*[
         PatternIndex(tuple(some)).matched(F.col(_TEXT_COLUMNS[part])).alias(part) for part, some in patterns.items()
     ])
+    rules = list(pack.values())
+
+    def numbers(some: Sequence[int]) -> Column:
+        return F.array(*map(F.lit, some)).cast("array<int>")
+
+    def named_by(part: str, sign: str, own: Column) -> Column:
+        owners: list[list[int]] = [[] for _ in patterns[part]]
+        for n, rule in enumerate(rules):
+            for p in dict.fromkeys(rule[part][sign]):
+                owners[places[part][p]].append(n)
+        if not any(owners):
+            return numbers(())
+        table = F.array(*map(numbers, owners))
+        return F.flatten(F.transform(own[part], lambda k: F.get(table, k)))
+
+    def banded(n: int, band: Mapping, own: Column) -> Column:
+        hit = F.lit(False)
+        for part in _TEXT_COLUMNS:
+            if some := band.get(part, ()):
+                hit = hit | F.arrays_overlap(own[part], numbers([places[part][p] for p in some]))
+        return F.when(_inside(band) & hit, numbers([n])).otherwise(numbers(()))
+
+    def without_text(part: str) -> Column:
+        some = [n for n, rule in enumerate(rules) if rule[part]["-"]]
+        return F.when(F.col(_TEXT_COLUMNS[part]).isNull(), numbers(some)).otherwise(numbers(()))
 
     def categories(own: Column) -> Column:
-        return F.array_compact(F.array(*[
-            F.when(_matches_found(rule, places, {part: own[part] for part in _TEXT_COLUMNS}), F.lit(category))
-            for category, rule in pack.items()
-        ]))
+        wanted = F.concat(
+            *[named_by(part, "+", own) for part in _TEXT_COLUMNS],
+            *[banded(n, band, own) for n, rule in enumerate(rules) for band in rule.get("amount_based", ())],
+        )
+        barred = F.concat(*[
+            some for part in _TEXT_COLUMNS for some in (named_by(part, "-", own), without_text(part))
+        ])
+        ways = F.array(*[F.lit(rule["transaction_type"]) for rule in rules])
+        fitting = F.filter(wanted, lambda n: F.get(ways, n) == F.col("transaction_type"))
+        names = F.array(*map(F.lit, pack))
+        return F.transform(F.array_sort(F.array_except(fitting, barred)), lambda n: F.get(names, n))
 
     return let(found, categories)
 

@@ -110,3 +110,14 @@ def test_large_pack_gives_the_same_categories(spark, monkeypatch):
     monkeypatch.setattr(rules, "INDEXED_PATTERNS", 10**9)
     want = {r.k: r.c for r in rows.select("k", rules.matching_categories(pack).alias("c")).collect()}
     assert got == want and any(got.values())
+
+
+def test_cost_of_a_row_does_not_follow_the_pack(spark):
+    """No rule of an indexed pack is tried on its own; bands alone are looked at one by one."""
+    pack = big_pack(random.Random(4))
+    for rule in pack.values():
+        rule.pop("amount_based", None)
+    schema = "transaction_type string, description string, bank_counterparty_name string, amount double"
+    rows = spark.createDataFrame([("debit", "a", None, 1.0)], schema)
+    plan = rows.select(rules.matching_categories(pack))._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_overlap" not in plan
