@@ -14,6 +14,14 @@ from tallymark.sources import manifests
 
 BUCKETS = 200
 
+# Rows of all tables that meet in one bucket: what a task sorts and joins.
+ROWS_A_BUCKET = 1_000_000
+
+
+def buckets_for(*tables: DataFrame, least: int = 8) -> int:
+    """Buckets for tables that are joined: `least`, or more to keep each at ROWS_A_BUCKET rows on average."""
+    return max(least, -(-sum(df.count() for df in tables) // ROWS_A_BUCKET))
+
 
 def write_by_identity(df: DataFrame, name: str, path: str, buckets: int = BUCKETS) -> DataFrame:
     """Write `df` in buckets of the identity and register it as the table `name` of this session.

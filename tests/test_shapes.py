@@ -14,6 +14,7 @@ from compare import differences  # noqa: E402
 from tallymark.catalog import shapes as fx  # noqa: E402
 from tallymark.catalog.registry import ORACLES, QUERIES  # noqa: E402
 from tallymark.operators import feedback  # noqa: E402
+from tallymark.sources import layout  # noqa: E402
 
 import __spark_entry__  # noqa: E402, F401
 
@@ -81,3 +82,21 @@ def test_sources_share_one_join_of_events_and_transactions(spark, folder):
     assert "Join" not in plan
     every = fx.feedback(spark, folder)
     assert sum(df.count() for df in sources) == every.count() + every.where("src = 0").count()
+
+
+def test_identity_layout_has_buckets_by_rows(spark, tmp_path, monkeypatch):
+    """A fixed number of buckets would make each task grow with the tables."""
+    folder, number = _tables(spark, tmp_path, 300, 1), F.col("id")
+    spark.range(960).select(
+        number.alias("event_id"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("ts"),
+        F.when(number % 5 == 0, "view").otherwise("click").alias("event_type"),
+    ).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    written, write = [], layout.write_by_identity
+    monkeypatch.setattr(layout, "write_by_identity", lambda *a: written.append(a[3]) or write(*a))
+    name = "join_identity_layout"
+    for rows in (layout.ROWS_A_BUCKET, 100):
+        monkeypatch.setattr(layout, "ROWS_A_BUCKET", rows)
+        problem, n = differences(QUERIES[name](spark, folder), _connect(folder), ORACLES[name])
+        assert problem is None and n > 0
+    # 300 transactions, 900 events of theirs, those of source 0 twice
+    assert written == [8, 8, 15, 15]
