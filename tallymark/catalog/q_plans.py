@@ -403,7 +403,10 @@ def fit_text_classifier(spark, folder):
     rows = rows.withColumn("target_category_int", label)
     names = F.array(*[F.lit(c) for c in RETAIL.categories])
     rows = rows.withColumn("target_category", F.get(names, F.col("target_category_int")))
-    made = stage(features.features(rows, RETAIL, features.limits_of(rows)), "features")
+    made = features.features(rows, RETAIL, features.limits_of(rows)).select(
+        "date", "target_category", "target_category_int", "cleaned_description", "preprocessed_numeric_features"
+    )
+    made = stage(made, "features")
     train = made.where(F.col("date") < F.lit("2000-01-01").cast("date"))
     model = classifier.fit(train, RETAIL, penalty=1e-5)
     scored = classifier.score(model, made.where("target_category_int is not null"), RETAIL)

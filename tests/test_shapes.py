@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from compare import differences  # noqa: E402
 
+from tallymark import staging  # noqa: E402
 from tallymark.catalog import shapes as fx  # noqa: E402
 from tallymark.catalog.registry import ORACLES, QUERIES  # noqa: E402
 from tallymark.operators import feedback  # noqa: E402
@@ -100,3 +101,23 @@ def test_identity_layout_has_buckets_by_rows(spark, tmp_path, monkeypatch):
         assert problem is None and n > 0
     # 300 transactions, 900 events of theirs, those of source 0 twice
     assert written == [8, 8, 15, 15]
+
+
+def test_classifier_stages_only_what_it_reads(spark, tmp_path, monkeypatch):
+    """Hashed buckets are input of the embedding model; making and writing them took most of the staging."""
+    class Staged(Exception):
+        pass
+
+    def stop(df, name):
+        raise Staged(df.columns)
+
+    monkeypatch.setattr(staging, "stage", stop)
+    _tables(spark, tmp_path, 20, 1)
+    spark.range(2).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text")).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    with pytest.raises(Staged) as found:
+        QUERIES["fit_text_classifier"](spark, str(tmp_path))
+    assert set(found.value.args[0]) == {
+        "date", "target_category", "target_category_int", "cleaned_description", "preprocessed_numeric_features"
+    }
