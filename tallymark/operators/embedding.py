@@ -24,8 +24,21 @@ _BROADCAST_BYTES = 32 * 1024 * 1024
 _ROWS_AT_ONCE = 1024
 
 
-def _can_copy(vocabulary: int, size: int, most: int = _COPY_BYTES) -> bool:
-    return vocabulary * (size * 8 + 32) <= most
+def _can_copy(vocabulary: int, size: int, most: int = _COPY_BYTES, number: int = 8) -> bool:
+    return vocabulary * (size * number + 32) <= most
+
+
+def _copied_as(known: DataFrame, vocabulary: int, size: int) -> type | None:
+    """The numbers that a copied token table consists of; None if it is too large to be copied.
+
+    Doubles, or singles where the table is too large with doubles and all its numbers are singles anyway.
+    """
+    if _can_copy(vocabulary, size, _COPY_BYTES):
+        return np.float64
+    if not _can_copy(vocabulary, size, _COPY_BYTES, 4):
+        return None
+    exact = F.forall("vector", lambda x: x == x.cast("float").cast("double"))
+    return np.float32 if known.agg(F.coalesce(F.bool_and(exact), F.lit(True))).first()[0] else None
 
 
 def token_table(token_vectors: DataFrame, vocabulary: int, size: int) -> DataFrame:
@@ -52,12 +65,15 @@ def masked_mean(
 ) -> DataFrame:
     """Mean vector of the known tokens of every row (see `token_table`); none gives zeros.
 
-    The means combine before the shuffle, so a row sends one partial result, not one per token.
-    Returns the key columns and `output`.
+    Where the token table fits on every executor, a row's buckets go to its key, and no vector moves.
+    Otherwise tokens meet their vectors by a join, and the means combine before the shuffle, so a row
+    sends one partial result, not one per token. Returns the key columns and `output`.
     """
     known = token_table(token_vectors, vocabulary, size)
     if _can_copy(vocabulary, size, _BROADCAST_BYTES):
         known = F.broadcast(known)
+    elif numbers := _copied_as(known, vocabulary, size):
+        return _local_means(df, key, buckets, _token_matrix(known, vocabulary, size, numbers), output)
     tokens = df.select(
         *key,
         F.explode_outer(
@@ -72,6 +88,37 @@ def masked_mean(
     )
 
 
+def _local_means(
+    df: DataFrame, key: Sequence[str], buckets: str, table: tuple[np.ndarray, np.ndarray], output: str
+) -> DataFrame:
+    """`masked_mean` by a token table (see `_token_matrix`) that is copied to every executor."""
+    model, size = df.sparkSession.sparkContext.broadcast(table), table[0].shape[1]
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+    @F.arrow_udf("array<double>")
+    def sums(lists: pa.Array) -> pa.Array:
+        """Of each row the number of its known tokens, then the sum of their vectors."""
+        token_rows, known = model.value
+        flat, rows = _lists(lists)
+        found = np.zeros((len(lists), size + 1))
+        for start in range(0, len(lists), _ROWS_AT_ONCE):
+            stop = min(start + _ROWS_AT_ONCE, len(lists))
+            low, high = np.searchsorted(rows, [start, stop])
+            found[start:stop, 0], found[start:stop, 1:] = _sum_vectors(
+                flat[low:high], rows[low:high] - start, stop - start, token_rows, known
+            )
+        offsets = np.arange(0, (len(lists) + 1) * (size + 1), size + 1, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))
+
+    tokens = F.filter(F.col(buckets).cast("array<bigint>"), lambda b: b != 0)
+    tokens = F.coalesce(tokens, F.array().cast("array<bigint>"))
+    rows = df.select(*key, tokens.alias("_tokens")).repartition(*key)
+    parts = rows.select(*key, sums("_tokens").alias("_part"))
+    totals = parts.groupBy(*key).agg(*[F.sum(F.get("_part", F.lit(i))).alias(f"_dim{i}") for i in range(size + 1)])
+    means = [F.when(F.col("_dim0") > 0, F.col(f"_dim{i + 1}") / F.col("_dim0")).otherwise(0.0) for i in range(size)]
+    return totals.select(*key, F.array(*means).alias(output))
+
+
 def label_centroids(df: DataFrame, label: str, vector: str, size: int) -> DataFrame:
     """Unit-length mean vector per label."""
     means = df.groupBy(label).agg(
@@ -148,9 +195,11 @@ def parts_of(table: DataFrame, key: str, vector: str) -> Iterator[tuple[np.ndarr
             yield keys, np.frombuffer(row["packed"]).reshape(len(keys), -1)
 
 
-def _token_matrix(known: DataFrame, rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _token_matrix(
+    known: DataFrame, rows: int, size: int, numbers: type = np.float64
+) -> tuple[np.ndarray, np.ndarray]:
     """A token table as a dense matrix, and which of its rows exist. Bounded by `rows`."""
-    matrix = np.zeros((rows, size))
+    matrix = np.zeros((rows, size), numbers)
     present = np.zeros(rows, dtype=bool)
     for places, found in parts_of(known, "bucket", "vector"):
         matrix[places] = found
@@ -165,19 +214,27 @@ def _lists(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.repeat(np.arange(len(array)), lengths)
 
 
-def _mean_vectors(
+def _sum_vectors(
     buckets: np.ndarray, rows: np.ndarray, n: int, tokens: np.ndarray, present: np.ndarray
-) -> np.ndarray:
-    """Mean token vector per row; `rows` ascends."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Number of known tokens per row and the sum of their vectors, in doubles; `rows` ascends."""
     inside = (buckets > 0) & (buckets < len(present))
     kept = inside & present[np.where(inside, buckets, 0)]
     buckets, rows = buckets[kept], rows[kept]
-    means = np.zeros((n, tokens.shape[1]))
+    sums, counts = np.zeros((n, tokens.shape[1])), np.zeros(n)
     if len(rows):
         starts = np.flatnonzero(np.r_[True, np.diff(rows) > 0])
-        counts = np.diff(np.r_[starts, len(rows)])
-        means[rows[starts]] = np.add.reduceat(tokens[buckets], starts) / counts[:, None]
-    return means
+        counts[rows[starts]] = np.diff(np.r_[starts, len(rows)])
+        sums[rows[starts]] = np.add.reduceat(tokens[buckets], starts, dtype=np.float64)
+    return counts, sums
+
+
+def _mean_vectors(
+    buckets: np.ndarray, rows: np.ndarray, n: int, tokens: np.ndarray, present: np.ndarray
+) -> np.ndarray:
+    """Mean token vector per row; `rows` ascends."""
+    counts, sums = _sum_vectors(buckets, rows, n, tokens, present)
+    return sums / np.maximum(counts, 1)[:, None]
 
 
 @dataclass
@@ -213,8 +270,10 @@ class EmbeddingModel:
         A model that fits on every executor scores rows where they are: no shuffle, and dense
         arithmetic on Arrow batches. A larger one looks its tokens up by a join.
         """
-        if _can_copy(config.hash_buckets, config.embedding_size):
-            return df.withColumn("scores", self._local_scorer(df.sparkSession, config))
+        known = token_table(self.token_vectors, config.hash_buckets, config.embedding_size)
+        if numbers := _copied_as(known, config.hash_buckets, config.embedding_size):
+            table = _token_matrix(known, config.hash_buckets, config.embedding_size, numbers)
+            return df.withColumn("scores", self._local_scorer(df.sparkSession, config, *table))
         means = masked_mean(
             df, key, "preprocessed_description", self.token_vectors, config.embedding_size,
             config.hash_buckets,
@@ -226,10 +285,10 @@ class EmbeddingModel:
         scored = with_similarities(rows, self._transaction_vector(), matrix, "scores")
         return scored.drop("description_embedding")
 
-    def _local_scorer(self, spark: SparkSession, config: ModelConfig) -> Column:
-        size, n_labels = config.embedding_size, len(config.trainable)
-        known = token_table(self.token_vectors, config.hash_buckets, size)
-        tokens, present = _token_matrix(known, config.hash_buckets, size)
+    def _local_scorer(
+        self, spark: SparkSession, config: ModelConfig, tokens: np.ndarray, present: np.ndarray
+    ) -> Column:
+        n_labels = len(config.trainable)
         rows = _label_rows(self.label_vectors, self.label_index, n_labels, self._label_size(config))
         labels = np.array(rows.first().m, dtype=float)
         weights = None if self.weights is None else np.asarray(self.weights, dtype=float).T

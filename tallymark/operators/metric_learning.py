@@ -35,6 +35,10 @@ PARTITION_ROWS = 25_000
 MOST_PARTITIONS = 64
 # Vectors of a task that turns parameters into rows, and of an Arrow batch.
 _TASK_VECTORS, _BATCH_VECTORS = 100_000, 4096
+# Vectors of a task that merges the changes of a round.
+_MERGED_VECTORS = 50_000
+# Numbers of a table that finds places of buckets.
+_LONGEST_TABLE = 1 << 24
 # A message's array and place as one number.
 _PLACES = 1 << 40
 _SMALL = 1e-12
@@ -143,58 +147,91 @@ def similarities(p: Parameters, batch: Batch) -> np.ndarray:
 def loss_and_gradients(
     p: Parameters, batch: Batch, margin: float
 ) -> tuple[float, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
-    """Mean loss; places of the tokens that have a gradient, these gradients, and those of the dense
+    """Mean loss; places of the tokens that the batch holds, their gradients, and those of the dense
     layer, the bias and the labels."""
     f = _forward(p, batch)
-    rows = np.arange(batch.n)
+    size = p.tokens.shape[1]
     positive, negative = _semi_hard(f.similarity, batch.label)
-    loss = margin - positive + f.similarity[rows, negative]
-    active = (loss > 0) / batch.n
-    by_score = np.zeros_like(f.similarity)
-    by_score[rows, negative] += active
-    by_score[rows, batch.label] -= active
-
-    by_unit, by_label = by_score @ f.labels, by_score.T @ f.unit
-    by_vector = (by_unit - f.unit * (f.unit * by_unit).sum(1, keepdims=True)) / f.norm[:, None]
+    loss = margin - positive + f.similarity[np.arange(batch.n), negative]
+    active = np.flatnonzero(loss > 0)
+    places = np.unique(batch.place)
+    tokens = np.zeros((len(places), size))
+    if not len(active):
+        others = tuple(np.zeros(g.shape) for g in p.groups[1:])
+        return float(np.maximum(loss, 0).mean()), places, tokens, others
+    # Rows without a loss have no gradient.
+    rows, unit = np.arange(len(active)), f.unit[active]
+    by_score = np.zeros((len(active), len(f.labels)))
+    by_score[rows, negative[active]] += 1 / batch.n
+    by_score[rows, batch.label[active]] -= 1 / batch.n
+
+    by_unit, by_label = by_score @ f.labels, by_score.T @ unit
+    by_vector = (by_unit - unit * (unit * by_unit).sum(1, keepdims=True)) / f.norm[active][:, None]
     labels = (by_label - f.labels * (f.labels * by_label).sum(1, keepdims=True)) / f.label_norm[:, None]
-    by_mean = (by_vector @ p.dense.T)[:, : p.tokens.shape[1]] / np.maximum(f.counts, 1)[:, None]
-
-    order = np.argsort(batch.place, kind="stable")
-    places, first = np.unique(batch.place[order], return_index=True)
-    tokens = (
-        np.add.reduceat(by_mean[batch.row[order]], first) if len(places)
-        else np.zeros((0, p.tokens.shape[1]))
-    )
-    others = (f.x.T @ by_vector, by_vector.sum(0, keepdims=True), labels)
+    by_mean = (by_vector @ p.dense.T)[:, :size] / np.maximum(f.counts[active], 1)[:, None]
+
+    number = np.full(batch.n, -1)
+    number[active] = rows
+    row = number[batch.row]
+    place, row = batch.place[row >= 0], row[row >= 0]
+    order = np.argsort(place, kind="stable")
+    moved, first = np.unique(place[order], return_index=True)
+    if len(moved):
+        tokens[np.searchsorted(places, moved)] = np.add.reduceat(by_mean[row[order]], first)
+    others = (f.x[active].T @ by_vector, by_vector.sum(0, keepdims=True), labels)
     return float(np.maximum(loss, 0).mean()), places, tokens, others
 
 
 class Adam:
-    """Steps over parameters; token vectors move only when a batch holds them."""
+    """Steps over parameters; token vectors move only when a batch holds them.
+
+    `live` marks the tokens that had a gradient. The others have no moments, so steps leave them out.
+    """
 
     def __init__(self, p: Parameters, rate: float):
         self.p, self.rate, self.steps = p, rate, 0
         self.first = [np.zeros(g.shape) for g in p.groups]
         self.second = [np.zeros(g.shape) for g in p.groups]
+        self.live = np.zeros(len(p.tokens), bool)
 
     def step(self, places: np.ndarray, tokens: np.ndarray, others: tuple[np.ndarray, ...]) -> None:
         self.steps += 1
         rate = self.rate * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
-        rows = [places, *(slice(None) for _ in others)]
-        for group, m, v, at, g in zip(self.p.groups, self.first, self.second, rows, (tokens, *others)):
-            m[at] = 0.9 * m[at] + 0.1 * g
-            v[at] = 0.999 * v[at] + 0.001 * g * g
-            group[at] -= rate * m[at] / (np.sqrt(v[at]) + 1e-7)
-
-
-def _batch(columns: pa.RecordBatch, known: np.ndarray) -> Batch:
+        self.live[places] |= tokens.any(1)
+        kept = self.live[places]
+        rows = [places[kept], *(slice(None) for _ in others)]
+        for group, m, v, at, g in zip(self.p.groups, self.first, self.second, rows, (tokens[kept], *others)):
+            m[at] = first = 0.9 * m[at] + 0.1 * g
+            v[at] = second = 0.999 * v[at] + 0.001 * g * g
+            group[at] -= rate * first / (np.sqrt(second) + 1e-7)
+
+
+class _Places:
+    """Places of buckets among the known ones, which ascend: by a table, or by bisection where that would be long."""
+
+    def __init__(self, known: np.ndarray):
+        self.known, self.table = known, None
+        if len(known) and 0 <= known[0] and known[-1] < _LONGEST_TABLE:
+            self.table = np.full(known[-1] + 2, -1, np.int32)
+            self.table[known] = np.arange(len(known))
+
+    def find(self, buckets: np.ndarray) -> np.ndarray:
+        """-1 for an unknown bucket."""
+        if self.table is not None:
+            return self.table[np.where((buckets >= 0) & (buckets < len(self.table)), buckets, -1)]
+        if not len(self.known):
+            return np.full(len(buckets), -1)
+        at = np.minimum(np.searchsorted(self.known, buckets), len(self.known) - 1)
+        return np.where(self.known[at] == buckets, at, -1)
+
+
+def _batch(columns: pa.RecordBatch, places: _Places) -> Batch:
     """Rows (buckets, numeric, label) with their known buckets; a null feature counts as 0."""
     buckets = columns.column(0)
-    flat = buckets.flatten().to_numpy(zero_copy_only=False)
+    at = places.find(buckets.flatten().to_numpy(zero_copy_only=False))
     row = np.repeat(np.arange(len(buckets)), buckets.value_lengths().to_numpy(zero_copy_only=False))
-    at = np.minimum(np.searchsorted(known, flat), max(len(known) - 1, 0))
-    kept = known[at] == flat if len(known) else np.zeros(len(flat), bool)
-    numeric = np.array(columns.column(1).to_pylist(), float).reshape(-1, NUMERIC)
+    kept = at >= 0
+    numeric = columns.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, NUMERIC)
     return Batch(at[kept], row[kept], np.nan_to_num(numeric), columns.column(2).to_numpy())
 
 
@@ -313,8 +350,9 @@ def _round(rows: DataFrame, start: Parameters, rate: float, margin: float, size:
         begin = shared.value
         p = begin.copy()
         adam, met, total, loss = Adam(p, rate), np.zeros(len(p.buckets)), 0, 0.0
+        known = _Places(p.buckets)
         for columns in batches:
-            whole = _batch(columns, p.buckets)
+            whole = _batch(columns, known)
             for low in range(0, whole.n, size):
                 part = whole.part(low, min(low + size, whole.n))
                 value, places, tokens, others = loss_and_gradients(p, part, margin)
@@ -325,37 +363,47 @@ def _round(rows: DataFrame, start: Parameters, rate: float, margin: float, size:
             return
         yield _message(-1, np.zeros(1, np.int64), np.full(1, float(total)), np.full((1, 1), loss / total))
         for kind, (new, old) in enumerate(zip(p.groups, begin.groups)):
-            at = np.flatnonzero(met) if kind == 0 else np.arange(len(new))
+            at = np.flatnonzero(adam.live) if kind == 0 else np.arange(len(new))
             weight = met[at] if kind == 0 else np.full(len(at), float(total))
             for low in range(0, len(at), 4096):
                 some = at[low : low + 4096]
                 yield _message(kind, some, weight[low : low + 4096], new[some] - old[some])
-
-    def _message(kind: int, place: np.ndarray, weight: np.ndarray, change: np.ndarray) -> pa.RecordBatch:
-        ends = np.arange(len(place) + 1, dtype=np.int32) * change.shape[1]
+        # Tokens that were met and stayed where they were count by their weight alone.
+        still = np.flatnonzero((met > 0) & ~adam.live)
+        for low in range(0, len(still), 65536):
+            yield _message(0, still[low : low + 65536], met[still[low : low + 65536]], None)
+
+    def _message(kind: int, place: np.ndarray, weight: np.ndarray, change: np.ndarray | None) -> pa.RecordBatch:
+        if change is None:
+            changes = pa.nulls(len(place), pa.list_(pa.float64()))
+        else:
+            ends = np.arange(len(place) + 1, dtype=np.int32) * change.shape[1]
+            changes = pa.ListArray.from_arrays(pa.array(ends), pa.array(change.ravel()))
+        kinds = pa.array(np.full(len(place), kind, np.int32))
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(place), kind, np.int32)), pa.array(place.astype(np.int64)), pa.array(weight),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(change.ravel())),
-            ],
-            names=["kind", "place", "weight", "change"],
+            [kinds, pa.array(place.astype(np.int64)), pa.array(weight), changes], names=["kind", "place", "weight", "change"]
         )
 
     dims = start.tokens.shape[1]
     weight = F.col("weight")
     sums = [F.sum(F.get("change", F.lit(d)) * weight).alias(f"_{d}") for d in range(dims)]
-    means = rows.mapInArrow(run, schema).groupBy("kind", "place").agg(F.sum("weight").alias("weight"), *sums)
+    # The number of tasks goes by the vectors: changes that are mostly null or zero take few bytes, but not few rows.
+    changes = rows.mapInArrow(run, schema).repartition(max(1, -(-len(start.buckets) // _MERGED_VECTORS)), "place")
+    means = changes.groupBy("kind", "place").agg(F.sum("weight").alias("weight"), *sums).where("_0 is not null")
     means = means.select(
         ((F.col("kind") + 1) * _PLACES + F.col("place")).alias("at"),
         F.array(*[F.coalesce(F.col(f"_{d}") / weight, F.lit(0.0)) for d in range(dims)]).alias("change"),
     )
+    # Merged by all tasks, as parts are then read one after another.
+    merged = stage(means, "changes")
     out, loss = start.copy(), 0.0
-    for at, change in parts_of(means, "at", "change"):
+    for at, change in parts_of(merged, "at", "change"):
         kind, place = at // _PLACES - 1, at % _PLACES
         for k, group in enumerate(out.groups):
             group[place[kind == k]] += change[kind == k]
         if (kind == -1).any():
             loss = float(change[kind == -1][0, 0])
+    discard(merged)
     shared.destroy()
     return out, loss
 
@@ -367,8 +415,9 @@ def measure(rows: DataFrame, p: Parameters, margin: float) -> tuple[int, float,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, loss, right = 0, 0.0, 0
+        known = _Places(shared.value.buckets)
         for columns in batches:
-            whole = _batch(columns, shared.value.buckets)
+            whole = _batch(columns, known)
             for low in range(0, whole.n, 4096):
                 part = whole.part(low, min(low + 4096, whole.n))
                 scores = similarities(shared.value, part)

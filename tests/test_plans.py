@@ -157,6 +157,57 @@ def test_gaps_lengths_and_repeats_of_a_model(spark, monkeypatch, copied):
         assert found[key] == pytest.approx(wanted + [0.0] * (len(RETAIL.trainable) - 4), abs=1e-9)
 
 
+def test_single_precision_vectors_are_copied_as_such(spark, monkeypatch):
+    """A table that is too large with doubles moves no rows if singles hold its numbers; others are joined."""
+    model, config = embedding_model(spark)
+    n, size = config.hash_buckets, config.embedding_size
+    single = model.token_vectors.withColumn("vector", F.col("vector").cast("array<float>"))
+    rows = spark.createDataFrame(
+        [(i, [k % n for k in range(i, 3 * i)], [0.5, 1.0, 0.0]) for i in range(9)],
+        "id int, preprocessed_description array<int>, preprocessed_numeric_features array<double>",
+    )
+    for tokens, copied in ((single, True), (model.token_vectors, False)):
+        sized = embedding.EmbeddingModel(tokens, model.label_vectors, weights=model.weights, bias=model.bias)
+        monkeypatch.setattr(embedding, "_COPY_BYTES", n * (size * 8 + 32))
+        wanted = {r.id: r.scores for r in sized.score(rows, ["id"], config).collect()}
+        monkeypatch.setattr(embedding, "_COPY_BYTES", n * (size * 8 + 32) - 1)
+        scored = sized.score(rows, ["id"], config)
+        assert ("Join" not in scored._jdf.queryExecution().toString()) == copied
+        found = {r.id: r.scores for r in scored.collect()}
+        assert found.keys() == wanted.keys() and len(found) == 9
+        assert all(found[k] == pytest.approx(wanted[k], abs=1e-12) for k in found)
+
+
+def test_means_by_a_copied_table_equal_joined_ones(spark, monkeypatch):
+    """Repeated and null keys, rows without buckets, unknown buckets; no join, so no vector moves."""
+    tokens = spark.createDataFrame(
+        [(k, [float(k), 1 / k]) for k in range(1, 40)] + [(7, [1.0, 1.0])], "bucket int, vector array<double>"
+    )
+    rows = spark.createDataFrame(
+        [(k % 11 or None, None if k % 7 == 0 else [k % 50, 0, k % 3, 45, -2, None]) for k in range(90)] + [(99, [0, 60])],
+        "id int, b array<int>",
+    )
+    monkeypatch.setattr(embedding, "_BROADCAST_BYTES", 0)
+
+    def means():
+        found = embedding.masked_mean(rows, ["id"], "b", tokens, 2, 50, "mean")
+        return {r.id: r.mean for r in found.collect()}, "Join" in found._jdf.queryExecution().toString()
+
+    copied, joins_copied = means()
+    monkeypatch.setattr(embedding, "_COPY_BYTES", 0)
+    joined, joins_joined = means()
+    assert not joins_copied and joins_joined
+    assert copied.keys() == joined.keys() and len(copied) == 12 and copied[99] == [0.0, 0.0]
+    assert all(copied[k] == pytest.approx(joined[k], abs=1e-12) for k in copied)
+
+
+def test_merchant_codes_are_read_once(spark):
+    """What makes the codes may be a join of all transactions: readers read what was written."""
+    codes = spark.createDataFrame([("0742", 1), ("742", 2)], "code string, mcc_index int")
+    assert all("merchant-codes" in f for f in joins.merchant_codes(codes).inputFiles())
+    assert joins.merchant_codes(codes).inputFiles()
+
+
 def test_merchant_codes_of_any_form(spark):
     codes = spark.createDataFrame(
         [("0742", 1), ("742", 2), ("12345", 3), ("A100", 4), ("A100", 4), (None, 5)], "code string, mcc_index int"
