@@ -108,12 +108,14 @@ def _semi_hard(similarity: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, n
     positive one, or the smallest of all negatives where none is below."""
     rows = np.arange(len(label))
     positive = similarity[rows, label]
-    others = np.ones(similarity.shape, bool)
-    others[rows, label] = False
-    below = others & (similarity < positive[:, None])
-    nearest = np.where(below, similarity, -np.inf).argmax(1)
-    smallest = np.where(others, similarity, np.inf).argmin(1)
-    return positive, np.where(below.any(1), nearest, smallest)
+    below = similarity < positive[:, None]
+    place = np.where(below, similarity, -np.inf).argmax(1)
+    least = np.flatnonzero(~below.any(1))
+    if len(least):
+        others = similarity[least]
+        others[np.arange(len(least)), label[least]] = np.inf
+        place[least] = others.argmin(1)
+    return positive, place
 
 
 @dataclass
@@ -130,11 +132,12 @@ class _Forward:
 def _forward(p: Parameters, batch: Batch) -> _Forward:
     size = p.tokens.shape[1]
     counts = np.bincount(batch.row, minlength=batch.n)
-    sums = np.zeros((batch.n, size))
-    if len(batch.row):
-        starts = np.flatnonzero(np.r_[True, np.diff(batch.row) > 0])
-        sums[batch.row[starts]] = np.add.reduceat(p.tokens[batch.place], starts)
-    x = np.hstack([sums / np.maximum(counts, 1)[:, None], batch.numeric])
+    x = np.zeros((batch.n, size + NUMERIC))
+    x[:, size:] = batch.numeric
+    some = np.flatnonzero(counts)
+    if len(some):
+        sums = np.add.reduceat(p.tokens[batch.place], (np.cumsum(counts) - counts)[some])
+        x[some, :size] = sums / counts[some][:, None]
     unit, norm = _unit(x @ p.dense + p.bias)
     labels, label_norm = _unit(p.labels)
     return _Forward(x, counts, unit, norm, labels, label_norm, unit @ labels.T)
@@ -154,11 +157,11 @@ def loss_and_gradients(
     positive, negative = _semi_hard(f.similarity, batch.label)
     loss = margin - positive + f.similarity[np.arange(batch.n), negative]
     active = np.flatnonzero(loss > 0)
+    mean = float(loss[active].sum() / batch.n)
     places = np.unique(batch.place)
     tokens = np.zeros((len(places), size))
     if not len(active):
-        others = tuple(np.zeros(g.shape) for g in p.groups[1:])
-        return float(np.maximum(loss, 0).mean()), places, tokens, others
+        return mean, places, tokens, tuple(np.zeros(g.shape) for g in p.groups[1:])
     # Rows without a loss have no gradient.
     rows, unit = np.arange(len(active)), f.unit[active]
     by_score = np.zeros((len(active), len(f.labels)))
@@ -179,30 +182,50 @@ def loss_and_gradients(
     if len(moved):
         tokens[np.searchsorted(places, moved)] = np.add.reduceat(by_mean[row[order]], first)
     others = (f.x[active].T @ by_vector, by_vector.sum(0, keepdims=True), labels)
-    return float(np.maximum(loss, 0).mean()), places, tokens, others
+    return mean, places, tokens, others
 
 
 class Adam:
     """Steps over parameters; token vectors move only when a batch holds them.
 
-    `live` marks the tokens that had a gradient. The others have no moments, so steps leave them out.
+    Only tokens that had a gradient have moments, kept in rows in the order of their first one; steps leave out the others.
     """
 
     def __init__(self, p: Parameters, rate: float):
-        self.p, self.rate, self.steps = p, rate, 0
-        self.first = [np.zeros(g.shape) for g in p.groups]
-        self.second = [np.zeros(g.shape) for g in p.groups]
-        self.live = np.zeros(len(p.tokens), bool)
+        self.p, self.rate, self.steps, self.used = p, rate, 0, 0
+        shapes = [(min(len(p.tokens), 1024), p.tokens.shape[1]), *(g.shape for g in p.groups[1:])]
+        self.first = [np.zeros(x) for x in shapes]
+        self.second = [np.zeros(x) for x in shapes]
+        self.row = np.full(len(p.tokens), -1, np.int32)
+
+    @property
+    def live(self) -> np.ndarray:
+        """Which tokens had a gradient."""
+        return self.row >= 0
+
+    def _give_rows(self, places: np.ndarray) -> None:
+        self.row[places] = np.arange(self.used, self.used + len(places))
+        self.used += len(places)
+        for moments in (self.first, self.second):
+            have, size = moments[0].shape
+            if self.used > have:
+                more = np.zeros((min(len(self.row), max(2 * have, self.used)), size))
+                more[:have] = moments[0]
+                moments[0] = more
 
     def step(self, places: np.ndarray, tokens: np.ndarray, others: tuple[np.ndarray, ...]) -> None:
         self.steps += 1
         rate = self.rate * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
-        self.live[places] |= tokens.any(1)
-        kept = self.live[places]
-        rows = [places[kept], *(slice(None) for _ in others)]
-        for group, m, v, at, g in zip(self.p.groups, self.first, self.second, rows, (tokens[kept], *others)):
-            m[at] = first = 0.9 * m[at] + 0.1 * g
-            v[at] = second = 0.999 * v[at] + 0.001 * g * g
+        new = places[tokens.any(1) & (self.row[places] < 0)]
+        if len(new):
+            self._give_rows(new)
+        rows = self.row[places]
+        kept = np.flatnonzero(rows >= 0)
+        whole = [slice(None)] * len(others)
+        held, moments = [places[kept], *whole], [rows[kept], *whole]
+        for group, m, v, at, row, g in zip(self.p.groups, self.first, self.second, held, moments, (tokens[kept], *others)):
+            m[row] = first = 0.9 * m[row] + 0.1 * g
+            v[row] = second = 0.999 * v[row] + 0.001 * g * g
             group[at] -= rate * first / (np.sqrt(second) + 1e-7)
 
 
@@ -362,14 +385,15 @@ def _round(rows: DataFrame, start: Parameters, rate: float, margin: float, size:
         if not total:
             return
         yield _message(-1, np.zeros(1, np.int64), np.full(1, float(total)), np.full((1, 1), loss / total))
+        live = adam.live
         for kind, (new, old) in enumerate(zip(p.groups, begin.groups)):
-            at = np.flatnonzero(adam.live) if kind == 0 else np.arange(len(new))
+            at = np.flatnonzero(live) if kind == 0 else np.arange(len(new))
             weight = met[at] if kind == 0 else np.full(len(at), float(total))
             for low in range(0, len(at), 4096):
                 some = at[low : low + 4096]
                 yield _message(kind, some, weight[low : low + 4096], new[some] - old[some])
         # Tokens that were met and stayed where they were count by their weight alone.
-        still = np.flatnonzero((met > 0) & ~adam.live)
+        still = np.flatnonzero((met > 0) & ~live)
         for low in range(0, len(still), 65536):
             yield _message(0, still[low : low + 65536], met[still[low : low + 65536]], None)
 

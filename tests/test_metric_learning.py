@@ -147,6 +147,38 @@ def test_a_round_is_the_mean_of_what_partitions_do(spark):
     assert abs(loss - losses / 90) < 1e-12
 
 
+def test_steps_keep_moments_of_tokens_with_a_gradient_only():
+    """The same parameters as by steps that keep moments of all tokens."""
+    pick = np.random.default_rng(4)
+    p = Parameters.initial(np.arange(1, 5001), 6, 5, 3)
+    plain, moments = p.copy(), [[np.zeros(g.shape) for g in p.groups] for _ in range(2)]
+    adam, gradients = Adam(p, 0.05), set()
+    for k in range(1, 41):
+        places = np.sort(pick.choice(5000, 90, replace=False))
+        tokens = pick.normal(size=(90, 6)) * (pick.random(90) < 0.2)[:, None]
+        others = [pick.normal(size=g.shape) for g in p.groups[1:]]
+        adam.step(places, tokens, tuple(others))
+        gradients |= set(places[tokens.any(1)].tolist())
+        rate = 0.05 * np.sqrt(1 - 0.999**k) / (1 - 0.9**k)
+        for group, m, v, at, g in zip(plain.groups, *moments, [places, *[slice(None)] * 3], [tokens, *others]):
+            m[at] = 0.9 * m[at] + 0.1 * g
+            v[at] = 0.999 * v[at] + 0.001 * g * g
+            group[at] -= rate * m[at] / (np.sqrt(v[at]) + 1e-7)
+    assert all(np.allclose(a, b, rtol=0, atol=1e-12) for a, b in zip(p.groups, plain.groups))
+    assert set(np.flatnonzero(adam.live).tolist()) == gradients
+    assert len(gradients) <= len(adam.first[0]) < 2000
+
+
+def test_places_by_table_and_by_bisection(monkeypatch):
+    known, asked = np.array([2, 5, 900]), np.array([900, 3, 5, 2, 901, 10**12, -1, 0, -10**12])
+    for longest in (1 << 24, 0):
+        monkeypatch.setattr(metric_learning, "_LONGEST_TABLE", longest)
+        found = metric_learning._Places(known)
+        assert (found.table is None) == (longest == 0)
+        assert found.find(asked).tolist() == [2, -1, 1, 0, -1, -1, -1, -1, -1]
+    assert metric_learning._Places(known[:0]).find(asked).tolist() == [-1] * 9
+
+
 def plain_schedule(s, losses):
     """Round by round, as callbacks would do it."""
     rate, best, wait_rate, wait_stop = s.rate, float("inf"), 0, 0
